@@ -85,7 +85,7 @@ _KEYED = lambda f: f"""select {f}, count(*) n_rows, count(distinct read_id) n_re
 _LINES = r"""with l as (select line_id, file_name, case when right(raw_line, 1) = chr(13) then left(raw_line, length(raw_line) - 1) else raw_line end line from raw_lines where raw_line is not null),
   k as (select *, regexp_matches(line, '^(?:"(?:[^"]|"")*"|[^"\t][^"\t]*|)(?:\t(?:"(?:[^"]|"")*"|[^"\t]*))*$') quoted,
     case file_name when 'OUT.read_assignments.gz' then 9 else 2 end wanted from l where not regexp_matches(line, '^(#|[ \t]*$)')),
-  f as (select *, list_transform(regexp_extract_all(line, '(?:^|\t)("(?:[^"]|"")*"|[^"\t]*)', 1), lambda x: case when x like '"%' then replace(substr(x, 2, length(x) - 2), '""', '"') else x end) v from k),
+  f as (select *, list_transform(regexp_extract_all(chr(9) || line, '\t("(?:[^"]|"")*"|[^"\t]*)', 1), lambda x: case when x like '"%' then replace(substr(x, 2, length(x) - 2), '""', '"') else x end) v from k),
   r as (select *, case when not quoted then 'quoting' when len(v) <> wanted then 'columns'
     when not regexp_matches(v[1], '^[A-Za-z0-9]{16}(?s:.*)_[A-Za-z0-9]{12}#') then 'read_id'
     when wanted = 2 then case when v[2] = '' then 'value' end
