@@ -88,7 +88,7 @@ def common_in_band(left: Sequence[np.ndarray], right: Sequence[np.ndarray], band
     w, rows = int(band.max(initial=0)), int(na.max(initial=0))
     far = np.iinfo(np.int32).max // 2
     a = np.zeros((len(left), rows), np.int64)
-    b = np.zeros((len(left), int(nb.max(initial=0)) + 2 * w + 2), np.int64)
+    b = np.zeros((len(left), max(rows, int(nb.max(initial=0))) + 2 * w + 2), np.int64)
     for k, (x, y) in enumerate(zip(left, right)):
         a[k, : len(x)] = x
         b[k, w + 1 : w + 1 + len(y)] = y
