@@ -19,8 +19,11 @@ def gtf_records(lines: DataFrame) -> DataFrame:
     Comments and blank lines are skipped; any other line must have exactly nine fields, else the query fails.
     """
     fields = F.split("line", "\t")
-    right = F.when(F.size(fields) == len(GTF_FIELDS), fields).otherwise(F.raise_error(F.concat(F.lit("not a GTF line of nine fields: "), F.col("line"))).cast("array<string>"))
-    rows = lines.where(~F.col("line").startswith("#") & F.col("line").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]")).select("sample_id", "ord", right.alias("f"))
+    content = ~F.col("line").startswith("#") & F.col("line").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]")
+    wrong = F.raise_error(F.concat(F.lit("not a GTF line of nine fields: "), F.col("line"))).cast("array<string>")
+    # Filters may be evaluated in any order, so the check itself leaves out what isn't content.
+    right = F.when(~content, F.lit(None)).when(F.size(fields) == len(GTF_FIELDS), fields).otherwise(wrong)
+    rows = lines.where(content).select("sample_id", "ord", right.alias("f"))
     named = rows.select("sample_id", "ord", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(GTF_FIELDS)))
     return named.withColumns({"start": F.col("start").cast("int"), "end": F.col("end").cast("int"), "pairs": attributes(F.col("attributes"))})
 
