@@ -2,10 +2,10 @@
 
 Records are grouped into classes of equal sequences first. A class's sequence is cut into k-mers, each labelled with its
 number of occurrence. A sketch keeps the k-mers of smallest hash in their order in the sequence, under each of many hash
-functions; classes with an equal sketch meet in its bucket. A bucket that holds too many classes is divided by further
-sketches over the k-mers that its classes don't already share, as often as needed; a class without further k-mers is
-compared with its whole bucket, which is one class against the others. Pairs that meet are aligned within the band of
-insertions and deletions that the threshold allows.
+functions; classes with an equal sketch meet in its bucket. Classes of a bucket that holds too many are divided once more,
+by k-mer: two of them can only be similar if they share one of their rarest k-mers, so each goes to a bucket for every
+k-mer of that short prefix, which loses no pair. Pairs that meet are aligned within the band of insertions and deletions
+that the threshold allows.
 
 Of a pair with i of u k-mers in common, one sketch of two meets with probability i(i-1) / (u(u-1)). At the default
 similarity that is at least 1/2 (i = 3, u = 4), so the default number of sketches misses it once in 10^12 pairs.
@@ -25,15 +25,16 @@ from strandloom.shared import if_small, written
 
 SKETCHES = 40
 KEPT = 2
-#: A bucket of more classes is divided, by so many sketches of one further k-mer.
+#: The classes of a bucket that holds more are divided by their rarest k-mers.
 BUCKET = 256
-DIVISIONS = 8
 
 
-def labelled_kmers(seq: str, k: int) -> str:
-    """SQL for array<bigint>: a hash of each k-mer of the array ``seq`` together with its number of occurrence."""
-    words = f"transform(sequence(1, greatest(size({seq}) - {k} + 1, 1)), i -> xxhash64(slice({seq}, i, {k})))"
-    return f"transform({words}, (w, i) -> xxhash64(w, size(filter(slice({words}, 1, i), y -> y = w))))"
+def with_kmers(df: DataFrame, seq: str, k: int) -> DataFrame:
+    """``df`` with kmers array<bigint>: a hash of each k-mer of the array ``seq`` together with its number of occurrence."""
+    words = df.withColumn("words", F.expr(f"transform(sequence(1, greatest(size({seq}) - {k} + 1, 1)), i -> xxhash64(slice({seq}, i, {k})))"))
+    once = F.expr("transform(words, w -> xxhash64(w, 1))")
+    labelled = F.expr("transform(words, (w, i) -> xxhash64(w, size(filter(slice(words, 1, i + 1), y -> y = w))))")
+    return words.withColumn("kmers", F.when(F.size(F.array_distinct("words")) == F.size("words"), once).otherwise(labelled)).drop("words")
 
 
 def _sketch(kmers: str, seed: str, kept: int) -> str:
@@ -42,44 +43,39 @@ def _sketch(kmers: str, seed: str, kept: int) -> str:
     return f"transform(array_sort({low}), s -> s.x)"
 
 
-def _pairs_in(buckets: DataFrame, ratio: float) -> DataFrame:
+def _pairs_in(buckets: DataFrame, key: list[str], ratio: float) -> DataFrame:
     """(a, b), a < b: classes that share a bucket, of sizes within ``ratio`` of one another."""
-    a = buckets.select("bucket", "used", F.col("class").alias("a"), F.col("n").alias("na"))
-    b = buckets.select("bucket", "used", F.col("class").alias("b"), F.col("n").alias("nb"))
+    a = buckets.select(*key, F.col("class").alias("a"), F.col("n").alias("na"))
+    b = buckets.select(*key, F.col("class").alias("b"), F.col("n").alias("nb"))
     fits = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * ratio)
-    return a.join(b, ["bucket", "used"]).where(fits).select("a", "b")
+    return a.join(b, key).where(fits).select("a", "b")
 
 
-def candidates(classes: DataFrame, similarity: float, sketches: int = SKETCHES, kept: int = KEPT, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) bigint, a < b: pairs of classes (class, block, kmers) that share a sketch within their block, once each.
+def by_rarest(classes: DataFrame, similarity: float) -> DataFrame:
+    """(class, n, block, kmer): each class under the k-mers of its prefix, rarest first among ``classes``.
 
-    ``used`` holds the k-mers that all classes of a bucket have in common by its sketches.
+    Sets of similarity s and size n share one of the first n - ceil(s n) + 1 k-mers, whatever the common order.
     """
+    each = classes.select("class", "block", F.explode("kmers").alias("kmer"))
+    counts = if_small(written(each.groupBy("block", "kmer").agg(F.count("*").alias("held")), "kmers"))
+    ranked = each.join(counts, ["block", "kmer"]).groupBy("class", "block").agg(F.array_sort(F.collect_list(F.struct("held", "kmer"))).alias("r"))
+    n = F.size("r")
+    prefix = F.slice("r", F.lit(1), n - F.ceil(n * (similarity - 1e-9)).cast("int") + 1)
+    return ranked.select("class", n.alias("n"), "block", F.explode(prefix).alias("p")).select("class", "n", "block", "p.kmer")
+
+
+def candidates(classes: DataFrame, similarity: float, sketches: int = SKETCHES, kept: int = KEPT, bucket: int = BUCKET) -> DataFrame:
+    """(a, b) bigint, a < b: pairs of classes (class, block, kmers) that meet within their block, once each."""
     ratio = similarity - 1e-9
-    buckets = classes.select("class", F.size("kmers").alias("n"), "kmers", "block", F.explode(F.sequence(F.lit(0), F.lit(sketches - 1))).alias("j"))
-    buckets = buckets.withColumn("used", F.expr(_sketch("kmers", "j", kept))).select("class", "n", F.xxhash64("block", "j").alias("bucket"), "used")
-    found, depth = [], 0
-    while True:
-        depth += 1
-        buckets = written(buckets, "buckets")
-        large = written(buckets.groupBy("bucket", "used").agg(F.count("*").alias("members")).where(F.col("members") > bucket).drop("members"), "large")
-        if large.isEmpty():
-            found.append(_pairs_in(buckets, ratio))
-            break
-        large = if_small(large)
-        found.append(_pairs_in(buckets.join(large, ["bucket", "used"], "left_anti"), ratio))
-        rest = buckets.join(large, ["bucket", "used"]).join(classes.select("class", "kmers"), "class").withColumn("more", F.expr("filter(kmers, x -> not array_contains(used, x))"))
-        rest = written(rest.drop("kmers"), "large")
-        ended = rest.where(F.size("more") == 0).select("bucket", "used", F.col("class").alias("c"))
-        one = rest.join(ended, ["bucket", "used"]).where(F.col("class") != F.col("c"))
-        found.append(one.select(F.least("class", "c").alias("a"), F.greatest("class", "c").alias("b")))
-        again = rest.where(F.size("more") > 0).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(DIVISIONS - 1))))
-        again = again.withColumn("next", F.expr(_sketch("more", f"bucket, j, {depth}", 1)))
-        buckets = again.select("class", "n", F.xxhash64("bucket", "used", "j").alias("bucket"), F.concat("used", "next").alias("used"))
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return every.distinct()
+    wide = max(classes.rdd.getNumPartitions(), 2 * classes.sparkSession.sparkContext.defaultParallelism)  # few bytes, much work
+    each = classes.repartition(wide, "class").select("class", F.size("kmers").alias("n"), "kmers", "block", F.explode(F.sequence(F.lit(0), F.lit(sketches - 1))).alias("j"))
+    buckets = written(each.select("class", "n", "block", "j", F.xxhash64(F.expr(_sketch("kmers", "j", kept))).alias("sketch")), "buckets")
+    key = ["block", "j", "sketch"]
+    large = if_small(written(buckets.groupBy(*key).agg(F.count("*").alias("members")).where(F.col("members") > bucket).select(*key), "large"))
+    met = _pairs_in(buckets.join(large, key, "left_anti"), key, ratio)
+    crowded = if_small(written(buckets.join(large, key, "left_semi").select("class").distinct(), "crowded"))
+    divided = written(by_rarest(classes.join(crowded, "class", "left_semi"), similarity), "divided")
+    return met.unionByName(_pairs_in(divided, ["block", "kmer"], ratio)).distinct()
 
 
 def common_in_band(left: Sequence[np.ndarray], right: Sequence[np.ndarray], band: np.ndarray) -> np.ndarray:
@@ -141,7 +137,7 @@ def near_classes(df: DataFrame, id_col: str, block: Sequence[str], seq: str, sim
     for c in (id_col, *block):
         whole = whole & F.col(c).isNotNull()
     rows = df.where(whole).select(F.col(id_col).cast("bigint").alias("record"), F.to_json(F.array(*(F.col(c).cast("string") for c in block))).alias("block"), F.col(seq).cast("array<bigint>").alias("seq"))
-    classes = written(rows.groupBy("block", "seq").agg(F.min("record").alias("class")).select("class", "block", "seq", F.expr(labelled_kmers("seq", k)).alias("kmers")), "classes")
+    classes = written(with_kmers(rows.groupBy("block", "seq").agg(F.min("record").alias("class")), "seq", k), "classes")
     members = written(rows.join(if_small(classes.select("block", "seq", "class")), ["block", "seq"]).select("record", "class"), "members")
     met = candidates(classes.select("class", "block", "kmers"), similarity, **sizes)
     side = lambda key, name: if_small(classes.select(F.col("class").alias(key), F.col("seq").alias(name)))
