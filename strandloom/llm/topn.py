@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.shared import shared_path
+from strandloom.shared import shared_path, written
 
 ROW_GROUP_BYTES = 1 << 20
 CLUSTERED = "group_key string, score bigint, item string"
@@ -82,14 +82,15 @@ def best_of_file(path: str, n: int) -> tuple[pd.DataFrame, int, int]:
 def top_of_clustered(spark, path: str, n: int) -> DataFrame:
     """(group_key, score, item): at most n rows for each group and file of the clustered table at ``path``."""
     rows = spark.read.schema(CLUSTERED).parquet(path)
-    files = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    files = written(rows.select(F.col("_metadata.file_path").alias("path")).distinct(), "files")
+    tasks = max(1, min(files.count(), spark.sparkContext.defaultParallelism * 4))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for p in pdf["path"]:
                 yield best_of_file(p, n)[0]
 
-    return files.repartition("path").mapInPandas(run, CLUSTERED)
+    return files.repartition(tasks).mapInPandas(run, CLUSTERED)
 
 
 def top_n(df: DataFrame, groups: Sequence[str], score: str, item: str, n: int) -> DataFrame:
