@@ -38,9 +38,9 @@ def _stats(spark: SparkSession, sf_dir: str, field: str, counts: bool) -> DataFr
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "read_assignments").agg(F.count("*").alias("all_rows"))
+    all_rows = table(spark, sf_dir, "read_assignments").count()
     fields = [_stats(spark, sf_dir, f, False).select(F.lit(f).alias("field_name"), "key_value", "n_rows") for f in ("barcode", "gene_id")]
-    return fields[0].unionByName(fields[1]).join(F.broadcast(rows), F.col("n_rows") * 100 >= F.col("all_rows") * int(SHARE * 100)).select("field_name", "key_value")
+    return fields[0].unionByName(fields[1]).where(F.col("n_rows") * 100 >= all_rows * round(SHARE * 100)).select("field_name", "key_value")
 
 
 def p3_barcode_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
