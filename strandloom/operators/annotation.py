@@ -10,6 +10,8 @@ from strandloom.operators.matrix import numbered
 from strandloom.shared import if_small, written
 
 MIN_READS, MIN_SAMPLES, END_TOL, JUNCTION_TOL = 5, 2, 100, 10
+#: Width of the genome bins in which islands of starts are found.
+BIN = 1 << 20
 GTF_FIELDS = ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
 
 
@@ -62,7 +64,7 @@ def assembled(features: DataFrame, passing: DataFrame | None = None) -> DataFram
 
 def in_sheet_order(tx: DataFrame, sheet: DataFrame) -> DataFrame:
     """``tx`` of the samples of ``sheet``, with ord: the order of samples in the sheet, then the place in the file."""
-    return tx.join(F.broadcast(sheet.select("sample_id", "sample_idx")), "sample_id").withColumn("ord", F.shiftleft(F.col("sample_idx"), 44).bitwiseOR(F.col("pos").cast("bigint")))
+    return tx.join(sheet.select("sample_id", "sample_idx"), "sample_id").withColumn("ord", F.shiftleft(F.col("sample_idx"), 44).bitwiseOR(F.col("pos").cast("bigint")))
 
 
 def last_references(tx: DataFrame) -> DataFrame:
@@ -80,6 +82,24 @@ def _islands(df: DataFrame, value: Column, tol: int) -> DataFrame:
     return cut.withColumn("island", F.xxhash64("island", run)).drop("at", "step")
 
 
+def _start_islands(df: DataFrame, tol: int) -> DataFrame:
+    """``df`` (chrom, strand, n and exons) with island: runs of starts within ``tol`` of the next.
+
+    Runs are counted within bins of the genome, then over the bins (at most 2^31 / BIN of a bucket), so a bucket isn't one task.
+    """
+    key = ["chrom", "strand", "n"]
+    here = Window.partitionBy(*key, "bin").orderBy("at")
+    local = df.withColumn("at", first_start(F.col("exons"))).withColumn("bin", F.floor(F.col("at") / BIN))
+    local = local.withColumn("step", F.when(F.col("at") - F.lag("at").over(here) > tol, 1).otherwise(0)).withColumn("run", F.sum("step").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    local = written(local.drop("step"), "starts")
+    bins = local.groupBy(*key, "bin").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.max("run").alias("inner"))
+    over = Window.partitionBy(*key).orderBy("bin")
+    opened = bins.withColumn("opens", F.when(F.col("lo") - F.lag("hi").over(over) > tol, 1).otherwise(0))
+    before = F.coalesce(F.sum("inner").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = opened.select(*key, "bin", (F.sum("opens").over(over.rowsBetween(Window.unboundedPreceding, 0)) + before).alias("offset"))
+    return local.join(offsets, [*key, "bin"]).withColumn("island", F.col("run") + F.col("offset")).drop("at", "bin", "run", "offset")
+
+
 def _match(a: str, b: str, end_tol: int, junction_tol: int) -> str:
     """SQL: whether exon lists of equal size match, the cheap test of the ends first."""
     n = f"size({a})"
@@ -96,9 +116,10 @@ def leaders(tx: DataFrame, end_tol: int = END_TOL, junction_tol: int = JUNCTION_
     end, the first donor and the last acceptor that no match can cross, and each such island is folded on its own.
     """
     rows = tx.select(F.coalesce("chrom", F.lit(".")).alias("chrom"), F.coalesce("strand", F.lit(".")).alias("strand"), "exons", "ord").withColumn("n", exon_count(F.col("exons")))
-    structures = rows.groupBy("chrom", "strand", "n", "exons").agg(F.min("ord").alias("ord")).withColumn("island", F.lit(0).cast("bigint"))
+    structures = rows.groupBy("chrom", "strand", "n", "exons").agg(F.min("ord").alias("ord"))
+    structures = _start_islands(structures, end_tol)
     joins = junctions(F.col("exons"))
-    edges = (first_start(F.col("exons")), end_tol), (last_end(F.col("exons")), end_tol), (F.coalesce(F.get(joins, F.lit(0))["donor"], F.lit(0)), junction_tol), (F.coalesce(F.try_element_at(joins, F.lit(-1))["acceptor"], F.lit(0)), junction_tol)
+    edges = (last_end(F.col("exons")), end_tol), (F.coalesce(F.get(joins, F.lit(0))["donor"], F.lit(0)), junction_tol), (F.coalesce(F.try_element_at(joins, F.lit(-1))["acceptor"], F.lit(0)), junction_tol)
     for value, tol in edges:
         structures = _islands(structures, value, tol)
     grouped = structures.groupBy("chrom", "strand", "n", "island").agg(F.array_sort(F.collect_list(F.struct("ord", "exons"))).alias("xs"))

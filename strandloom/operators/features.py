@@ -23,7 +23,7 @@ def features(records: DataFrame, merge: bool = False) -> DataFrame:
     rows = records.withColumns({"own": own, "gene_id": attribute(pairs, "gene_id"), "transcript_id": attribute(pairs, "transcript_id")})
     nameless = numbered(rows.where("own is null"), "feature", "ord", name="place")
     starts = nameless.groupBy("feature").agg(F.min("place").alias("from_place"))
-    called = nameless.join(F.broadcast(starts), "feature").withColumn("id", F.concat("feature", F.lit("_"), (F.col("place") - F.col("from_place") + 1).cast("string"))).drop("place", "from_place")
+    called = nameless.join(starts, "feature").withColumn("id", F.concat("feature", F.lit("_"), (F.col("place") - F.col("from_place") + 1).cast("string"))).drop("place", "from_place")
     named = rows.where("own is not null").withColumn("id", F.col("own"))
     if merge:
         every = called.unionByName(named)

@@ -100,10 +100,9 @@ def tile_lists(df: DataFrame, keys: Sequence[str], tile: int = TILE, fan_in: int
         F.greatest("pos_from", F.col("tile") * tile).cast("int").alias("pos_from"),
         F.least("pos_to", (F.col("tile") + 1) * tile - 1).cast("int").alias("pos_to"),
     )
-    lists = partial_lists(cut, at)
-    leaves = max(1, cut.rdd.getNumPartitions())
-    levels = max(1, math.ceil(math.log(leaves, fan_in))) if leaves > 1 else 1
-    lists = lists.withColumn("node", F.spark_partition_id())
+    lists = written(partial_lists(cut, at).withColumn("node", F.spark_partition_id()), "leaves")
+    leaves = (lists.agg(F.max("node")).first()[0] or 0) + 1
+    levels = max(1, math.ceil(math.log(leaves, fan_in)))
     for level in range(levels):
         lists = lists.withColumn("node", F.floor(F.col("node") / fan_in).cast("int") if level + 1 < levels else F.lit(0))
         lists = merge_lists(lists, [*at, "node"])

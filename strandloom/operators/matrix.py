@@ -9,6 +9,9 @@ from strandloom.functions.readid import cell_name
 from strandloom.operators.molecules import representatives
 from strandloom.shared import written
 
+#: Most cells of a dense row; the axis is broadcast.
+MAX_DENSE = 1_000_000
+
 
 def numbered(df: DataFrame, *order: str | Column, name: str = "idx") -> DataFrame:
     """``df`` with its place in the order, from 0, without moving it to one task.
@@ -47,8 +50,11 @@ def reindexed(matrix: DataFrame, cells: DataFrame) -> DataFrame:
 def dense_rows(matrix: DataFrame, cells: DataFrame, row: str) -> DataFrame:
     """(row, line): the counts of a row over all cells in name order, zeros filled in, joined by commas.
 
-    The axis of cell names is one array row, as long as a line. A matrix without rows gives none.
+    The axis of cell names is one array row, as long as a line. A matrix without rows gives none. More than
+    ``MAX_DENSE`` cells are refused: such a matrix has its long form only.
     """
+    if cells.limit(MAX_DENSE + 1).count() > MAX_DENSE:
+        raise ValueError(f"more than {MAX_DENSE} cells: write the long form instead of dense rows")
     axis = cells.groupBy(F.lit(0).alias("one")).agg(F.array_sort(F.collect_set("cell")).alias("cells"))
     held = matrix.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("cell", F.col("n").cast("int").alias("n")))).alias("held")).withColumn("one", F.lit(0))
     line = F.transform("cells", lambda c: F.coalesce(F.try_element_at("held", c), F.lit(0)).cast("string"))

@@ -91,7 +91,7 @@ def passing_transcripts(raw: DataFrame, min_reads: int) -> DataFrame:
     Empty cells count nothing; a row with a cell that is no number has sum 0. The first line is the header.
     """
     first = raw.groupBy("sample_id").agg(F.min("ord").alias("header"))
-    body = raw.join(F.broadcast(first), "sample_id").where((F.col("ord") > F.col("header")) & (F.col("line") != "")).withColumn("c", F.split("line", ","))
+    body = raw.join(first, "sample_id").where((F.col("ord") > F.col("header")) & (F.col("line") != "")).withColumn("c", F.split("line", ","))
     numbers = F.transform(F.filter(F.slice("c", F.lit(2), F.greatest(F.size("c") - 1, F.lit(0))), lambda x: x != ""), lambda x: x.try_cast("double"))
     total = F.when(F.exists(numbers, lambda x: x.isNull()), 0.0).otherwise(F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x))
     return body.where(total >= min_reads).select("sample_id", F.regexp_replace(F.get("c", F.lit(0)), '^"|"$', "").alias("transcript_id")).distinct()

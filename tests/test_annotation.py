@@ -34,7 +34,8 @@ def scan(rows, end_tol, junction_tol, min_samples):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_collapse_equals_leader_scan(spark, seed):
+def test_collapse_equals_leader_scan(spark, monkeypatch, seed):
+    monkeypatch.setattr(ann, "BIN", [1 << 20, 64, 7, 150][seed])
     rng = random.Random(seed)
     rows = []
     for i in range(500):
