@@ -11,12 +11,13 @@ REFERENCE_TRANSCRIPT = "ENS"
 REFERENCE_SOURCES = ("ENSEMBL", "HAVANA")
 REFERENCE_KEY = "havana_transcript"
 
-#: Space characters for trimming, as regular expression.
+#: Space characters, as regular expression and one by one.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+SPACES = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def attributes(text: Column) -> Column:
@@ -24,9 +25,9 @@ def attributes(text: Column) -> Column:
 
     Fields end at any semicolon, also inside quotes; a field without a space is dropped; all quotes around a value go.
     """
-    inner = F.regexp_replace(trimmed(text), r"\A;+|;+\z", "")
+    inner = F.btrim(trimmed(text), F.lit(";"))
     fields = F.filter(F.transform(F.split(inner, ";"), trimmed), lambda f: F.instr(f, " ") > 0)
-    pair = lambda f: F.struct(F.substring_index(f, " ", 1).alias("k"), F.regexp_replace(trimmed(F.regexp_replace(f, r"\A[^ ]* ", "")), r'\A"+|"+\z', "").alias("v"))
+    pair = lambda f: F.struct(F.substring_index(f, " ", 1).alias("k"), F.btrim(trimmed(F.substr(f, F.instr(f, " ") + 1)), F.lit('"')).alias("v"))
     return F.transform(fields, pair)
 
 

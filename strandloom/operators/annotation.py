@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.functions.gtf import attribute, attributes, exon_count, first_start, is_reference, junctions, last_end
+from strandloom.functions.gtf import attribute, attributes, exon_count, first_start, is_reference, junctions, last_end, trimmed
 from strandloom.operators.matrix import numbered
 from strandloom.shared import if_small, written
 
@@ -21,7 +21,7 @@ def gtf_records(lines: DataFrame) -> DataFrame:
     Comments and blank lines are skipped; any other line must have exactly nine fields, else the query fails.
     """
     fields = F.split("line", "\t")
-    content = ~F.col("line").startswith("#") & F.col("line").rlike(r"[^\s\x1c-\x1f\x85\p{Z}]")
+    content = ~F.col("line").startswith("#") & (trimmed(F.col("line")) != "")
     wrong = F.raise_error(F.concat(F.lit("not a GTF line of nine fields: "), F.col("line"))).cast("array<string>")
     # Filters may be evaluated in any order, so the check itself leaves out what isn't content.
     right = F.when(~content, F.lit(None)).when(F.size(fields) == len(GTF_FIELDS), fields).otherwise(wrong)

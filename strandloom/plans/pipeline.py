@@ -81,13 +81,13 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
         files.write_filter_stats(aln.filter_stats(align, reads, kept, sheet), f"{project}/{names.merged}", f"{project}/{names.merged}/filtering_statistics.tsv")
     gtf = f"{project}/{names.consensus}/consensus.gtf"
     if "collapse" not in skip:
-        records = ann.gtf_records(text.sample_lines(spark, at(names.annotation)))
+        records = written(ann.gtf_records(text.sample_lines(spark, at(names.annotation))), "records")
         tx = written(ann.in_sheet_order(ann.assembled(ann.features_of(records)), sheet), "transcripts")
         out["consensus"] = final = written(ann.consensus(tx, end_tol, junction_tol, min_samples), "consensus")
         files.write_gtf(ann.gtf_lines(final), gtf)
         files.write_statistics(ann.statistics(tx, final, sheet), f"{project}/{names.consensus}/integrated_statistics.csv")
     if "database" not in skip:
-        records = ann.gtf_records(text.sample_lines(spark, {"consensus": gtf}))
+        records = written(ann.gtf_records(text.sample_lines(spark, {"consensus": gtf})), "records")
         out["features"] = table = written(feat.features(records), "features")
         out["relations"] = relations = feat.relations(table)
         files.write_features(table, relations, f"{project}/{names.consensus}/database")

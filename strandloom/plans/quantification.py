@@ -15,6 +15,7 @@ from strandloom.operators import alignments as aln
 from strandloom.operators import annotation as ann
 from strandloom.operators import features as feat
 from strandloom.operators import genes, matrix, molecules, samples, transcripts
+from strandloom.shared import written
 
 PROJECT = "/project"
 
@@ -68,11 +69,12 @@ def annotation_lines(tx: DataFrame) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.gtf_records(annotation_lines(table(spark, sf_dir, "transcripts")))
+    """Parsed lines, landed once: several columns come from the attributes."""
+    return written(ann.gtf_records(annotation_lines(table(spark, sf_dir, "transcripts"))), "records")
 
 
 def _assembled(spark: SparkSession, sf_dir: str, passing: DataFrame | None = None) -> DataFrame:
-    return ann.in_sheet_order(ann.assembled(ann.features_of(_records(spark, sf_dir)), passing), _sheet(spark, sf_dir))
+    return written(ann.in_sheet_order(ann.assembled(ann.features_of(_records(spark, sf_dir)), passing), _sheet(spark, sf_dir)), "transcripts")
 
 
 def _exon_text(exons: str = "exons") -> F.Column:
@@ -214,7 +216,7 @@ def novel_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.consensus(_assembled(spark, sf_dir))
+    return written(ann.consensus(_assembled(spark, sf_dir)), "consensus")
 
 
 def consensus_gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +224,8 @@ def consensus_gtf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrated_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.statistics(_assembled(spark, sf_dir), _final(spark, sf_dir), _sheet(spark, sf_dir))
+    tx = _assembled(spark, sf_dir)
+    return ann.statistics(tx, written(ann.consensus(tx), "consensus"), _sheet(spark, sf_dir))
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
