@@ -51,7 +51,7 @@ def test_given_total(spark):
 def test_equal_hashes_and_steps(spark):
     """Documents of one hash stay together; thresholds refine until one document is left."""
     sizes = spark.createDataFrame([(i, "a", 10, h) for i, h in enumerate([5, 5, 5, 6, 7, 1 << 58])], "doc bigint, source string, n_tokens bigint, h bigint")
-    for rest, below in ((1, 0), (16, 3), (30, 3), (34, 3), (36, 4), (44, 4), (46, 5), (59, 6)):
+    for rest, below in ((1, 0), (16, 3), (36, 4), (59, 6)):
         cut = mixing.thresholds(sizes, spark.createDataFrame([("a", rest)], "source string, rest bigint")).collect()
         assert sum(h < cut[0]["threshold"] for h in [5, 5, 5, 6, 7, 1 << 58]) == below, rest
 
