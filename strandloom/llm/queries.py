@@ -102,6 +102,13 @@ _SPANS = """with g as (select doc_id, i, substr(text, cast(i as int) + 1, 80) s
 
 ORACLE = {
     "p5_found": _BOUNDS + " select left_key, right_key from found",
+    "p5_links": _BOUNDS.replace("with b", "with recursive b", 1)
+    + """, k as (select tx_key, chrom, strand, string_agg(v::varchar, ',' order by v) s from p group by 1, 2, 3),
+      cl as (select tx_key, min(tx_key) over (partition by chrom, strand, s) class_key from k),
+      e as (select left_key a, right_key b from found union all select right_key, left_key from found),
+      reach as (select tx_key a, tx_key b from k union select r.a, e.b from reach r join e on e.a = r.b),
+      g as (select a, min(b) group_key from reach group by 1), ln as (select a, count(*) n from e group by 1)
+      select cl.tx_key, class_key, group_key, coalesce(ln.n, 0) n_links from cl join g on g.a = cl.tx_key left join ln on ln.a = cl.tx_key""",
     "p9_found": _SPANS + " select doc_id, span_from, span_to from found",
     "p9_shared_chars": _SPANS
     + """, k as (select doc_id, sum(span_to - span_from) c from found group by 1)
