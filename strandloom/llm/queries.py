@@ -35,9 +35,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcripts with the sorted distinct starts and ends of their valid exons."""
+    """Transcripts with the sorted distinct boundaries of their valid exons: 2 * start and 2 * end + 1, so a start never equals an end."""
     valid = "filter(exons, x -> x.exon_start <= x.exon_end)"
-    both = f"array_sort(array_distinct(flatten(transform({valid}, x -> array(x.exon_start, x.exon_end)))))"
+    both = f"array_sort(array_distinct(flatten(transform({valid}, x -> array(2 * cast(x.exon_start as bigint), 2 * cast(x.exon_end as bigint) + 1)))))"
     return table(spark, sf_dir, "transcripts").select("tx_key", "chrom", "strand", F.expr(both).alias("boundaries"))
 
 

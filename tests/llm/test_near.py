@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from strandloom.llm import near
+from strandloom.llm import near, queries
 from strandloom.llm.near import common_in_band, near_links, near_pairs
 
 
@@ -85,3 +85,16 @@ def test_repeated_kmers_keep_order(spark):
     df = spark.createDataFrame(rows, "id bigint, block string, seq array<bigint>")
     assert {tuple(r) for r in near_pairs(df, "id", ["block"], "seq", 0.75).collect()} == {(1, 2)}
     assert {tuple(r) for r in near_pairs(df, "id", ["block"], "seq", 0.75, k=2).collect()} == {(1, 2)}
+
+
+def test_a_start_is_never_an_end(spark, tmp_path):
+    """An exon of one position has two boundaries, and an end doesn't match a start at its position."""
+    exons = {1: [(5, 5), (8, 9)], 2: [(5, 6), (8, 9)], 3: [(10, 20)], 4: [(20, 30)], 5: [(10, 20), (20, 30)], 6: [(10, 20), (25, 30)], 7: [(10, 20), (20, 30), (9, 1)], 8: [(2**31 - 1, 2**31 - 1)], 9: [(2**31 - 1, 2**31 - 1)]}
+    df = spark.createDataFrame([(k, "c", "+", x) for k, x in exons.items()], "tx_key bigint, chrom string, strand string, exons array<struct<exon_start: int, exon_end: int>>")
+    df.write.parquet(f"{tmp_path}/transcripts.parquet")
+    sides = [(k, "c", "+", {("start", a) for a, b in x if a <= b} | {("end", b) for a, b in x if a <= b}) for k, x in exons.items()]
+    found = {tuple(r) for r in queries.p5_found(spark, str(tmp_path)).collect()}
+    assert found == jaccard_pairs(sides, 0.75) == {(5, 7), (8, 9)}
+    seq = {r["tx_key"]: len(r["boundaries"]) for r in queries._boundaries(spark, str(tmp_path)).collect()}
+    assert seq == {k: len(s) for k, _, _, s in sides}
+    assert {r["tx_key"]: r["n_links"] for r in queries.p5_links(spark, str(tmp_path)).collect()} == {k: int(k in (5, 7, 8, 9)) for k in exons}
