@@ -63,10 +63,15 @@ def assembled(features: DataFrame, passing: DataFrame | None = None) -> DataFram
 
 
 def in_sheet_order(tx: DataFrame, sheet: DataFrame) -> DataFrame:
-    """``tx`` of the samples of ``sheet``, with ord: the order of samples in the sheet, then the place in the file."""
+    """``tx`` of the samples of ``sheet``, with ord: the order of samples in the sheet, then the place in the file, below 2^44."""
     return tx.join(sheet.select("sample_id", "sample_idx"), "sample_id").withColumn("ord", F.shiftleft(F.col("sample_idx"), 44).bitwiseOR(F.col("pos").cast("bigint")))
 
 
+def placed(tx: DataFrame, sheet: DataFrame) -> DataFrame:
+    """As ``in_sheet_order`` for places of any size, such as file offsets: ord counts all transcripts from 0, in one order."""
+    return numbered(tx.join(sheet.select("sample_id", "sample_idx"), "sample_id"), "sample_idx", "pos", name="ord")
+
+
 def last_references(tx: DataFrame) -> DataFrame:
     """One row for each reference transcript_id: that of the last sample."""
     ref = tx.where("is_reference")

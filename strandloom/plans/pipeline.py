@@ -82,7 +82,7 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
     gtf = f"{project}/{names.consensus}/consensus.gtf"
     if "collapse" not in skip:
         records = written(ann.gtf_records(text.sample_lines(spark, at(names.annotation))), "records")
-        tx = written(ann.in_sheet_order(ann.assembled(ann.features_of(records)), sheet), "transcripts")
+        tx = ann.placed(ann.assembled(ann.features_of(records)), sheet)
         out["consensus"] = final = written(ann.consensus(tx, end_tol, junction_tol, min_samples), "consensus")
         files.write_gtf(ann.gtf_lines(final), gtf)
         files.write_statistics(ann.statistics(tx, final, sheet), f"{project}/{names.consensus}/integrated_statistics.csv")

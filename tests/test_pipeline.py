@@ -85,3 +85,20 @@ def test_assignment_spaces(spark, tmp_path):
     put(tmp_path / "a.tsv", " r c\x1c+ T\x85G \n#x y z a b\n x # y\n")
     raw = text.sample_lines(spark, {"s": str(tmp_path / "a.tsv")})
     assert [(r["read_id"], r["gene_id"]) for r in text.read_assignments(raw).collect()] == [("r", "G")]
+
+
+def test_collapse_of_large_annotations(spark, project):
+    """Blocks that start at 16 MiB and later: their lines don't run into the next sample's, nor meet their own sample's first block."""
+    both = lambda t, source, a, b: "".join(f'c\t{source}\t{k}\t{a}\t{b}\t.\t+\t.\tgene_id "g"; transcript_id "{t}";\n' for k in ("transcript", "exon"))
+    far = ("#" + "x" * 998 + "\n") * ((17 << 20) // 1000 + 1)
+    # Lone starts, in sample order: the consensus numbers follow the place of each group's leader.
+    put(project / "per_sample/s1/OUT/OUT.transcript_models.gtf", both("n0", "IsoQuant", 5000, 5900) + far + both("ENST1", "HAVANA", 1, 5) + both("n1", "IsoQuant", 1000, 1900))
+    put(project / "per_sample/s2/OUT/OUT.transcript_models.gtf", both("n1", "IsoQuant", 1000, 1900) + both("ENST1", "HAVANA", 1, 7) + both("n0", "IsoQuant", 5000, 5900))
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        out = pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["genes", "filter", "database", "transcripts"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    found = {r["transcript_id"]: (r["sample_id"], r["exons"][0]["start"], r["exons"][0]["end"]) for r in out["consensus"].collect()}
+    assert found == {"ENST1": ("s2", 1, 7), "tCOLL_000001": ("consensus", 5000, 5900), "tCOLL_000002": ("consensus", 1000, 1900)}
