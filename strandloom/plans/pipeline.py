@@ -94,7 +94,7 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
     if "transcripts" not in skip:
         second = text.transcript_reads(spark, {"merged": f"{project}/{names.second_reads}"})
         counted = written(transcripts.counted_reads(second, transcripts.representative_cells(bus, sheet, sep)), "counted")
-        cells = out["cells"] if "cells" in out else text.cell_list(spark, f"{matrices}/shared_barcodes.txt").withColumnRenamed("ord", "idx")
+        cells = out["cells"] if "cells" in out else matrix.numbered(text.cell_list(spark, f"{matrices}/shared_barcodes.txt"), "ord").select("cell", "idx")
         out["transcripts"] = counts = written(matrix.reindexed(transcripts.transcript_matrix(counted), cells), "transcripts")
         row_axis = matrix.numbered(transcripts.row_order(counted), "first_ord").select("transcript_id", "idx")
         files.write_matrix_csv(counts, row_axis, cells, "transcript_id", f"{matrices}/transcript_matrix.csv.gz")

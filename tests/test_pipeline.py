@@ -102,3 +102,23 @@ def test_collapse_of_large_annotations(spark, project):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     found = {r["transcript_id"]: (r["sample_id"], r["exons"][0]["start"], r["exons"][0]["end"]) for r in out["consensus"].collect()}
     assert found == {"ENST1": ("s2", 1, 7), "tCOLL_000001": ("consensus", 5000, 5900), "tCOLL_000002": ("consensus", 1000, 1900)}
+
+
+def test_cell_file_of_many_blocks(spark, project):
+    """The cell file is read in several blocks and has blank lines; its cells are still numbered from 0 without holes."""
+    pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["filter", "collapse", "database"])
+    m = project / "multisample/matrices"
+    (m / ".shared_barcodes.txt.crc").unlink(missing_ok=True)
+    put(m / "shared_barcodes.txt", "\n\n".join(["", *read(m / "shared_barcodes.txt").split(), ""]))
+    texts = {n: read(m / n) for n in ("transcript_matrix.mtx", "transcript_matrix_cols.txt", "transcript_matrix.csv.gz")}
+    with np.load(m / "transcript_matrix_csr/matrix-00000.npz") as z:
+        csr = {k: z[k].tolist() for k in z.files}
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["bu", "genes", "filter", "collapse", "database"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert {n: read(m / n) for n in texts} == texts
+    with np.load(m / "transcript_matrix_csr/matrix-00000.npz") as z:
+        assert {k: z[k].tolist() for k in z.files} == csr
