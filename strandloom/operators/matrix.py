@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from strandloom.functions.readid import cell_name
 from strandloom.operators.molecules import representatives
-from strandloom.shared import written
-
-#: Most cells of a dense row; the axis is broadcast.
-MAX_DENSE = 1_000_000
+from strandloom.shared import if_small, written
 
 
 def numbered(df: DataFrame, *order: str | Column, name: str = "idx") -> DataFrame:
@@ -50,15 +47,17 @@ def reindexed(matrix: DataFrame, cells: DataFrame) -> DataFrame:
 def dense_rows(matrix: DataFrame, cells: DataFrame, row: str) -> DataFrame:
     """(row, line): the counts of a row over all cells in name order, zeros filled in, joined by commas.
 
-    The axis of cell names is one array row, as long as a line. A matrix without rows gives none. More than
-    ``MAX_DENSE`` cells are refused: such a matrix has its long form only.
+    The axis is numbered and a row holds its own counts only; the zeros between them are written by their number, so
+    the axis may have any length for which a line is a string. A matrix or an axis without rows gives none.
     """
-    if cells.limit(MAX_DENSE + 1).count() > MAX_DENSE:
-        raise ValueError(f"more than {MAX_DENSE} cells: write the long form instead of dense rows")
-    axis = cells.groupBy(F.lit(0).alias("one")).agg(F.array_sort(F.collect_set("cell")).alias("cells"))
-    held = matrix.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("cell", F.col("n").cast("int").alias("n")))).alias("held")).withColumn("one", F.lit(0))
-    line = F.transform("cells", lambda c: F.coalesce(F.try_element_at("held", c), F.lit(0)).cast("string"))
-    return held.join(F.broadcast(axis), "one").select(row, F.array_join(line, ",").alias("line"))
+    axis = numbered(cells.select("cell").where("cell is not null").distinct(), "cell", name="at")
+    width = axis.count()
+    count = F.struct("at", F.coalesce(F.col("n").cast("int"), F.lit(0)).alias("n"))
+    held = matrix.join(if_small(axis), "cell", "left").groupBy(row).agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), count))).alias("held"))
+    before = "coalesce(get(held, i - 1).at, -1)"
+    counts = f"array_join(transform(held, (x, i) -> if(x.at = {before}, raise_error('a cell occurs twice in a row'), concat(repeat('0,', cast(x.at - {before} - 1 as int)), x.n))), ',')"
+    line = f"if(size(held) = 0, concat('0', repeat(',0', {width - 1})), concat({counts}, repeat(',0', cast({width - 1} - get(held, size(held) - 1).at as int))))"
+    return held.where(F.lit(width > 0)).select(row, F.expr(line).alias("line"))
 
 
 def triplets(matrix: DataFrame, rows: DataFrame, cells: DataFrame, row: str) -> DataFrame:

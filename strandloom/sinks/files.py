@@ -84,8 +84,8 @@ def write_matrix_csv(matrix: DataFrame, rows: DataFrame, cells: DataFrame, row:
     """A dense CSV over the given axes, one line a row; ``corner`` is the first header field. Every row name gets a line."""
     held = dense_rows(matrix, cells, row)
     width = cells.count()
-    empty = ",".join(["0"] * width)
-    full = rows.join(held, row, "left").select("idx", F.concat(F.col(row), F.lit(","), F.coalesce("line", F.lit(empty))).alias("line"))
+    empty = F.expr(f"concat('0', repeat(',0', {width - 1}))") if width else F.lit("")
+    full = rows.join(held, row, "left").select("idx", F.concat(F.col(row), F.lit(","), F.coalesce("line", empty)).alias("line"))
     head = cells.groupBy().agg(F.array_join(F.array_sort(F.collect_list("cell")), ",").alias("line")).select(F.lit(0).alias("idx"), F.concat(F.lit(corner + ","), "line").alias("line"))
     write_lines(head.unionByName(full.withColumn("idx", (F.col("idx") + 1).cast("int"))), "line", ["idx"], path)
 

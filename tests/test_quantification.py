@@ -104,6 +104,18 @@ def test_matrix_forms(spark):
     assert {tuple(r) for r in matrix.pivoted(kept, "gene_id", ["a", "b"]).collect()} == {("g1", 0, 2), ("g2", 1, 0)}
 
 
+def test_dense_rows_of_any_width(spark, monkeypatch):
+    """More cells than the former bound (here 5) give their dense rows as well."""
+    monkeypatch.setattr(matrix, "MAX_DENSE", 5, raising=False)
+    names = [f"c{i:02d}" for i in range(23)]
+    counts = {(g, c): (7 * g + i) % 11 for g in range(9) for i, c in enumerate(names) if (g * g + i) % 5 < g % 4}
+    m = spark.createDataFrame([(f"g{g}", c, n) for (g, c), n in counts.items()] + [("g0", "gone", 3)], "gene_id string, cell string, n bigint").repartition(5)
+    cells = spark.createDataFrame([(c,) for c in [*reversed(names), *names[:4], None]], "cell string")
+    want = {(f"g{g}", ",".join(str(counts.get((g, c), 0)) for c in names)) for g in {0} | {g for g, _ in counts}}
+    assert {tuple(r) for r in matrix.dense_rows(m, cells, "gene_id").collect()} == want
+    assert matrix.dense_rows(m.limit(0), cells, "gene_id").count() == matrix.dense_rows(m, cells.limit(0), "gene_id").count() == 0
+
+
 def test_numbered_over_partitions(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     assert all(r["v"] == r["idx"] for r in matrix.numbered(df, "v").collect())
