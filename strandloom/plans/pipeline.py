@@ -31,6 +31,7 @@ class Names:
     assignments: str = "OUT.read_assignments.tsv.gz"
     reads: str = "OUT.transcript_model_reads.tsv.gz"
     annotation: str = "OUT.transcript_models.gtf"
+    counts: str = "transcript_matrix.csv"
     bu: str = "{sample_id}_bu.csv"
     lengths: str = "OUT.transcript_model_reads_with_length.tsv.gz"
     second_reads: str = "multisample/OUT/OUT.transcript_model_reads.tsv.gz"
@@ -44,6 +45,15 @@ def _save(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def _cell_axis(spark: SparkSession, path: str, bus: DataFrame, sep: str) -> DataFrame:
+    """(cell, idx) of the cell file in its order; where it is missing or has no cell, the cells of the BUs in name order."""
+    if text.exists(spark, path):
+        axis = matrix.numbered(text.cell_list(spark, path), "ord").select("cell", "idx")
+        if not axis.isEmpty():
+            return axis
+    return matrix.numbered(matrix.unique_cells(bus, sep), "cell")
+
+
 def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str] = (), names: Names = Names(), sep: str = "_", min_reads: int = ann.MIN_READS, min_samples: int = ann.MIN_SAMPLES, end_tol: int = ann.END_TOL, junction_tol: int = ann.JUNCTION_TOL) -> dict[str, DataFrame]:
     """Runs the steps that aren't in ``skip`` and writes their files; gives their tables by name.
 
@@ -82,7 +92,10 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
     gtf = f"{project}/{names.consensus}/consensus.gtf"
     if "collapse" not in skip:
         records = written(ann.gtf_records(text.sample_lines(spark, at(names.annotation))), "records")
-        tx = ann.placed(ann.assembled(ann.features_of(records)), sheet)
+        # Count matrices of the first pass are optional: a sample without one keeps all of its transcripts.
+        held = {s: p for s, p in at(names.counts).items() if text.exists(spark, p)}
+        passing = text.passing_transcripts(text.sample_lines(spark, held), min_reads) if held else None
+        tx = ann.placed(ann.assembled(ann.features_of(records), passing), sheet)
         out["consensus"] = final = written(ann.consensus(tx, end_tol, junction_tol, min_samples), "consensus")
         files.write_gtf(ann.gtf_lines(final), gtf)
         files.write_statistics(ann.statistics(tx, final, sheet), f"{project}/{names.consensus}/integrated_statistics.csv")
@@ -94,7 +107,7 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
     if "transcripts" not in skip:
         second = text.transcript_reads(spark, {"merged": f"{project}/{names.second_reads}"})
         counted = written(transcripts.counted_reads(second, transcripts.representative_cells(bus, sheet, sep)), "counted")
-        cells = out["cells"] if "cells" in out else matrix.numbered(text.cell_list(spark, f"{matrices}/shared_barcodes.txt"), "ord").select("cell", "idx")
+        cells = out["cells"] if "cells" in out else _cell_axis(spark, f"{matrices}/shared_barcodes.txt", bus, sep)
         out["transcripts"] = counts = written(matrix.reindexed(transcripts.transcript_matrix(counted), cells), "transcripts")
         row_axis = matrix.numbered(transcripts.row_order(counted), "first_ord").select("transcript_id", "idx")
         files.write_matrix_market(counts, row_axis, cells, "transcript_id", f"{matrices}/transcript_matrix")

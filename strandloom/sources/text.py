@@ -26,6 +26,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.struct(F.col("_metadata.file_block_start").alias("block"), place.alias("at")).alias("o"), F.col("value").alias("line")).select((F.shiftleft(F.col("o.block").cast("bigint"), 20) + F.col("o.at")).alias("ord"), "line")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def sample_lines(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """(sample_id, ord, line) of each sample's file."""
     parts = [lines(spark, p).select(F.lit(s).alias("sample_id"), "ord", "line") for s, p in paths.items()]

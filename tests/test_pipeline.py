@@ -122,3 +122,28 @@ def test_cell_file_of_many_blocks(spark, project):
     assert {n: read(m / n) for n in texts} == texts
     with np.load(m / "transcript_matrix_csr/matrix-00000.npz") as z:
         assert {k: z[k].tolist() for k in z.files} == csr
+
+
+def test_count_matrix_of_a_sample(spark, project):
+    """s1 has a count matrix, in which its novel transcript has too few reads; s2 has none and keeps its own."""
+    put(project / "per_sample/s1/OUT/transcript_matrix.csv", ",c1,c2\nts1,2,2\nENST1,0,1\nother,5,\n")
+    skip = ["genes", "filter", "database", "transcripts"]
+    run = lambda **how: pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=skip, **how)
+    stats = lambda: read(project / "multisample/consensus/integrated_statistics.csv").split("\r\n")
+    run()
+    assert stats()[1:5] == ["reference_transcripts,1", "novel_transcripts_before_collapse,1", "novel_transcripts_after_collapse,0", "total_transcripts_final,1"]
+    assert stats()[7:9] == ["s1,1", "s2,2"]
+    run(min_reads=4)
+    assert stats()[1:4] == ["reference_transcripts,1", "novel_transcripts_before_collapse,2", "novel_transcripts_after_collapse,1"]
+
+
+@pytest.mark.parametrize("content", [None, " \n\n"])
+def test_cells_without_a_cell_file(spark, project, content):
+    pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["genes", "filter", "collapse", "database", "transcripts"])
+    m = project / "multisample/matrices"
+    if content:
+        put(m / "shared_barcodes.txt", content)
+    pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["bu", "genes", "filter", "collapse", "database"])
+    cells = [f"{s}_{b}" for s, b in (("s1", BC[0]), ("s2", BC[0]))]
+    assert read(m / "transcript_matrix_cols.txt").split() == cells
+    assert read(m / "transcript_matrix.csv.gz").splitlines() == ["," + ",".join(cells), "tCOLL_000001,1,1", "ENST1,0,1"]
