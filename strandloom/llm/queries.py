@@ -89,9 +89,9 @@ _LINKS = """with recursive m as (select left_sample_id || chr(1) || left_transcr
   found as (select split_part(a, chr(1), 1) sample_id, split_part(a, chr(1), 2) transcript_id, split_part(g, chr(1), 1) group_sample_id, split_part(g, chr(1), 2) group_transcript_id from g)"""
 
 _BOUNDS = """with b as (select tx_key, chrom, strand, unnest(exons) x from transcripts where chrom is not null and strand is not null),
-  p as (select tx_key, chrom, strand, x.exon_start v from b where x.exon_start <= x.exon_end union select tx_key, chrom, strand, x.exon_end from b where x.exon_start <= x.exon_end),
+  p as (select tx_key, chrom, strand, 'start' side, x.exon_start v from b where x.exon_start <= x.exon_end union select tx_key, chrom, strand, 'end', x.exon_end from b where x.exon_start <= x.exon_end),
   n as (select tx_key, count(*) n from p group by 1),
-  c as (select l.tx_key a, r.tx_key b, count(*) c from p l join p r on l.chrom = r.chrom and l.strand = r.strand and l.v = r.v and l.tx_key < r.tx_key group by 1, 2),
+  c as (select l.tx_key a, r.tx_key b, count(*) c from p l join p r on l.chrom = r.chrom and l.strand = r.strand and l.side = r.side and l.v = r.v and l.tx_key < r.tx_key group by 1, 2),
   found as (select a left_key, b right_key from c join n l on l.tx_key = a join n r on r.tx_key = b where c.c * 4 >= 3 * (l.n + r.n - c.c))"""
 _SPANS = """with g as (select doc_id, i, substr(text, cast(i as int) + 1, 80) s from (select doc_id, text, unnest(range(0, length(text) - 79)) i from documents where length(text) >= 80)),
   t as (select s from g group by s having count(distinct doc_id) > 1),
@@ -103,7 +103,7 @@ _SPANS = """with g as (select doc_id, i, substr(text, cast(i as int) + 1, 80) s
 ORACLE = {
     "p5_found": _BOUNDS + " select left_key, right_key from found",
     "p5_links": _BOUNDS.replace("with b", "with recursive b", 1)
-    + """, k as (select tx_key, chrom, strand, string_agg(v::varchar, ',' order by v) s from p group by 1, 2, 3),
+    + """, k as (select tx_key, chrom, strand, string_agg(side || v, ',' order by side, v) s from p group by 1, 2, 3),
       cl as (select tx_key, min(tx_key) over (partition by chrom, strand, s) class_key from k),
       e as (select left_key a, right_key b from found union all select right_key, left_key from found),
       reach as (select tx_key a, tx_key b from k union select r.a, e.b from reach r join e on e.a = r.b),
