@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,9 @@ def numbered(df: DataFrame, *order: str | Column, name: str = "idx") -> DataFram
     place = F.monotonically_increasing_id()
     table = written(df.orderBy(*order).withColumn("part_no", F.shiftright(place, 33)).withColumn("part_at", place.bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
     sizes = sorted((r["part_no"], r["n"]) for r in table.groupBy("part_no").agg(F.count("*").alias("n")).collect())
-    offsets, seen = [], 0
-    for part, n in sizes:
-        offsets.append((part, seen))
-        seen += n
-    offset = F.create_map(*(F.lit(x) for pair in offsets for x in pair))[F.col("part_no")] if offsets else F.lit(0)
-    return table.withColumn(name, (offset + F.col("part_at")).cast("bigint")).drop("part_no", "part_at")
+    before = accumulate((n for _, n in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame([(part, at) for (part, _), at in zip(sizes, before)], "part_no bigint, part_from bigint")
+    return table.join(if_small(offsets), "part_no").withColumn(name, F.col("part_from") + F.col("part_at")).drop("part_no", "part_at", "part_from")
 
 
 def unique_cells(bus: DataFrame, sep: str = "_") -> DataFrame:

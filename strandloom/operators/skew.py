@@ -34,8 +34,8 @@ class ShardPlan:
 
 
 def key_loads(df: DataFrame, key: str) -> DataFrame:
-    """(key_value string, load bigint): rows of each non-null key."""
-    return df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key_value")).agg(F.count("*").alias("load"))
+    """(key_value string, load bigint): rows of each key; null is a key of its own."""
+    return df.groupBy(F.col(key).cast("string").alias("key_value")).agg(F.count("*").alias("load"))
 
 
 def _bucket(key: Column, n: int) -> Column:
@@ -70,23 +70,24 @@ def shard_plan(loads: DataFrame, tasks: int) -> ShardPlan:
     return ShardPlan(tasks, at_large, at_bucket)
 
 
-def _with_shards(df: DataFrame, key: Column, plan: ShardPlan) -> DataFrame:
-    """``df`` with shard_tasks: the tasks of the key's shards (null for the other keys). The plan's table is bounded."""
-    spark = df.sparkSession
-    kind = T.StructType([T.StructField("large_key", T.StringType()), T.StructField("shard_tasks", T.ArrayType(T.IntegerType()))])
-    table = spark.createDataFrame([(k, list(v)) for k, v in plan.large.items()], kind)
-    return df.join(F.broadcast(table), key == F.col("large_key"), "left").drop("large_key")
-
+def _placements(df: DataFrame, key: str, plan: ShardPlan) -> DataFrame:
+    """``df`` with shard_tasks, the tasks that hold rows of its string column ``key``: one for each shard, else that of its bucket.
 
-def _packed(key: Column, plan: ShardPlan) -> Column:
-    """The task of a key that isn't large: that of its hash bucket."""
-    return F.element_at(F.from_json(F.lit(str(list(plan.buckets))), "array<int>"), _bucket(key, len(plan.buckets)) + 1)
+    Both tables of the plan are bounded by its number of tasks.
+    """
+    spark = df.sparkSession
+    kind = T.StructType([T.StructField("large_key", T.StringType()), T.StructField("large_tasks", T.ArrayType(T.IntegerType()))])
+    large = spark.createDataFrame([(k, list(v)) for k, v in plan.large.items()], kind)
+    packed = spark.createDataFrame(list(enumerate(plan.buckets)), "bucket int, bucket_task int")
+    both = df.withColumn("bucket", _bucket(F.col(key), len(plan.buckets))).join(F.broadcast(packed), "bucket")
+    both = both.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("large_key")) & F.col("large_tasks").isNotNull(), "left")
+    return both.withColumn("shard_tasks", F.coalesce("large_tasks", F.array("bucket_task"))).drop("bucket", "bucket_task", "large_key", "large_tasks")
 
 
 def with_task(df: DataFrame, key: str, spread: str, plan: ShardPlan) -> DataFrame:
-    """``df`` (with a string column ``key``) with task_id instead of ``spread``: equal key and spread, equal task."""
-    shard = F.expr(f"element_at(shard_tasks, cast(pmod(xxhash64(`{spread}`), size(shard_tasks)) + 1 as int))")
-    return _with_shards(df, F.col(key), plan).withColumn("task_id", F.coalesce(shard, _packed(F.col(key), plan))).drop("shard_tasks", spread)
+    """``df`` (with a string column ``key``) with task_id instead of the whole number ``spread``: equal key and spread, equal task."""
+    shard = F.expr(f"element_at(shard_tasks, cast(pmod(`{spread}`, size(shard_tasks)) + 1 as int))")
+    return _placements(df, key, plan).withColumn("task_id", shard).drop("shard_tasks", spread)
 
 
 def default_tasks(df: DataFrame) -> int:
@@ -110,26 +111,45 @@ def balanced_stats(df: DataFrame, key: str, spread: Sequence[str], distinct: Map
     if distinct:
         whole = lambda cols: F.when(F.concat(*cols).isNotNull(), F.to_json(F.array(*(F.col(c).cast("string") for c in cols))))
         values = F.array(*(F.struct(F.lit(i).alias("kind"), whole(cols).alias("v")) for i, cols in enumerate(distinct.values())))
-        long = keyed.select(name, F.inline(values)).where(F.col("v").isNotNull()).withColumn("spread", F.col("v"))
+        long = keyed.select(name, F.inline(values)).where(F.col("v").isNotNull()).withColumn("spread", F.xxhash64("v"))
         seen = with_task(long, "key_value", "spread", plan).repartitionById(tasks, "task_id").groupBy("task_id", "key_value", "kind", "v").agg(F.lit(1))
         counts = seen.groupBy("task_id", "key_value").agg(*(F.count_if(F.col("kind") == i).alias(n) for i, n in enumerate(distinct)))
         rows = rows.unionByName(counts, allowMissingColumns=True)
     return rows.groupBy("key_value").agg(F.sum("n_rows").alias("n_rows"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in distinct))
 
 
+def _placed_join(df: DataFrame, small: DataFrame, key: str, how: str, tasks: int | None) -> tuple[DataFrame, list[str]]:
+    """The join with columns c0, c1, ... for those of the result and task_id, and the names of the result's columns."""
+    tasks = tasks or default_tasks(df)
+    plan = shard_plan(written(key_loads(df, key), "loads"), tasks)
+    wide = len(df.columns)
+    left = df.toDF(*(f"c{i}" for i in range(wide)))
+    left = left.withColumns({"join_key": F.col(f"c{df.columns.index(key)}").cast("string"), "join_place": F.monotonically_increasing_id()})
+    left = with_task(left, "join_key", "join_place", plan).repartitionById(plan.tasks, "task_id")
+    others = [c for c in small.columns if c != key]
+    right = small.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("right_key"), *(F.col(c).alias(f"c{wide + i}") for i, c in enumerate(others)))
+    right = _placements(right, "right_key", plan).withColumn("right_task", F.explode(F.array_distinct("shard_tasks"))).drop("shard_tasks").repartitionById(plan.tasks, "right_task")
+    on = (left["task_id"] == right["right_task"]) & (left["join_key"] == right["right_key"])
+    joined = left.join(right.hint("merge"), on, how).drop("join_key", "right_key", "right_task")
+    return joined, [*df.columns, *(f"{c}_right" if c in df.columns else c for c in others)]
+
+
+def balanced_fragments(df: DataFrame, small: DataFrame, key: str, how: str = "inner", tasks: int | None = None) -> DataFrame:
+    """``balanced_join`` with task_id, the task that a row was placed in: grouping by it and more columns needs no further shuffle.
+
+    Rows of a large key, null included, go to its shards in turn, by their place in the input partition, so equal rows are
+    spread as well. ``df`` should be a scan or a written table, whose rows keep their places if a partition is read again.
+    """
+    joined, names = _placed_join(df, small, key, how, tasks)
+    return joined.select("task_id", *(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))
+
+
 def balanced_join(df: DataFrame, small: DataFrame, key: str, how: str = "inner", tasks: int | None = None) -> DataFrame:
     """``df`` ⋈ ``small`` on ``key``, large keys of ``df`` cut into shards, their rows of ``small`` replicated to those only.
 
-    ``how`` is inner or left. Null keys match nothing (a left join keeps them). Columns of ``small`` that clash with
-    ``df``'s get the suffix ``_right``. Repeated rows join as often as they occur.
+    ``how`` is inner or left. Null keys match nothing; a left join keeps them, spread like any large key. Columns of
+    ``small`` that clash with ``df``'s get the suffix ``_right``. Repeated rows join as often as they occur; an empty ``df``
+    gives no rows.
     """
-    tasks = tasks or default_tasks(df)
-    plan = shard_plan(written(key_loads(df, key), "loads"), tasks)
-    spread = F.xxhash64(*(F.col(c) for c in df.columns))
-    left = df.withColumns({"join_key": F.coalesce(F.col(key).cast("string"), F.lit("")), "join_null": F.col(key).isNull(), "join_spread": spread})
-    left = with_task(left, "join_key", "join_spread", plan).repartitionById(plan.tasks, "task_id")
-    right = small.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("right_key"), *(F.col(c).alias(f"{c}_right" if c in df.columns else c) for c in small.columns if c != key))
-    copies = F.array_distinct(F.coalesce("shard_tasks", F.array(_packed(F.col("right_key"), plan))))
-    right = _with_shards(right, F.col("right_key"), plan).withColumn("right_task", F.explode(copies)).drop("shard_tasks").repartitionById(plan.tasks, "right_task")
-    on = (left["task_id"] == right["right_task"]) & (left["join_key"] == right["right_key"]) & ~left["join_null"]
-    return left.join(right, on, how).drop("join_key", "join_null", "task_id", "right_key", "right_task")
+    joined, names = _placed_join(df, small, key, how, tasks)
+    return joined.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandloom.operators.badrows import failed_lines, valid_rows
 from strandloom.operators.intervals import periods_and_gaps
-from strandloom.operators.skew import balanced_join, balanced_stats
+from strandloom.operators.skew import balanced_fragments, balanced_join, balanced_stats
 
 #: Strings that stand for no gene or barcode.
 NO_KEY = ("*", ".", "")
@@ -31,24 +31,35 @@ def p1_gene_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_found(spark, sf_dir).groupBy("gene_id", "chrom").agg(F.count_if(F.col("kind") == "period").alias("n_periods"), of("period").alias("covered"), of("gap").alias("uncovered"))
 
 
-def _stats(spark: SparkSession, sf_dir: str, field: str, counts: bool) -> DataFrame:
-    reads = table(spark, sf_dir, "read_assignments")
-    distinct = {"n_reads": ["read_id"], "n_bus": ["barcode", "umi"]} if counts else {}
-    return balanced_stats(reads, field, ["ord"], distinct, NO_KEY)
+def _stats(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    return balanced_stats(table(spark, sf_dir, "read_assignments"), field, ["ord"], {"n_reads": ["read_id"], "n_bus": ["barcode", "umi"]}, NO_KEY)
+
+
+def _matched(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
+    """(the field, n_rows, n_matching): rows of each of its values, in the tasks of the plan, beside those of the matching table."""
+    rows = table(spark, sf_dir, "read_assignments").select(field).where(F.col(field).isNotNull() & ~F.col(field).isin(*NO_KEY))
+    other = table(spark, sf_dir, {"barcode": "bu_reads", "gene_id": "ref_genes"}[field]).groupBy(field).agg(F.count("*").alias("n_matching"))
+    shards = balanced_fragments(rows, other, field, "left").groupBy("task_id", field).agg(F.count("*").alias("n_rows"), F.max("n_matching").alias("n_matching"))
+    return shards.groupBy(field).agg(F.sum("n_rows").alias("n_rows"), F.coalesce(F.max("n_matching"), F.lit(0)).cast("bigint").alias("n_matching"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_rows = table(spark, sf_dir, "read_assignments").count()
-    fields = [_stats(spark, sf_dir, f, False).select(F.lit(f).alias("field_name"), "key_value", "n_rows") for f in ("barcode", "gene_id")]
+    fields = [_matched(spark, sf_dir, f).select(F.lit(f).alias("field_name"), F.col(f).alias("key_value"), "n_rows") for f in ("barcode", "gene_id")]
     return fields[0].unionByName(fields[1]).where(F.col("n_rows") * 100 >= all_rows * round(SHARE * 100)).select("field_name", "key_value")
 
 
+def p3_barcode_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each barcode in read_assignments and in bu_reads."""
+    return _matched(spark, sf_dir, "barcode").withColumnRenamed("n_matching", "n_bu_reads")
+
+
 def p3_barcode_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stats(spark, sf_dir, "barcode", True).withColumnRenamed("key_value", "barcode")
+    return _stats(spark, sf_dir, "barcode").withColumnRenamed("key_value", "barcode")
 
 
 def p3_gene_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stats(spark, sf_dir, "gene_id", True).withColumnRenamed("key_value", "gene_id")
+    return _stats(spark, sf_dir, "gene_id").withColumnRenamed("key_value", "gene_id")
 
 
 def p3_gene_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +81,7 @@ def p4_valid_model_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_rows(table(spark, sf_dir, "raw_lines"), "OUT.transcript_model_reads.gz")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_gene_cover, p3_found, p3_barcode_stats, p3_gene_stats, p3_gene_join, p4_found, p4_valid_assignments, p4_valid_model_reads)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_gene_cover, p3_found, p3_barcode_reads, p3_barcode_stats, p3_gene_stats, p3_gene_join, p4_found, p4_valid_assignments, p4_valid_model_reads)}
 
 _EXONS = "select distinct gene_id, chrom, x.exon_start s, x.exon_end e from (select gene_id, chrom, unnest(exons) x from transcripts where gene_id <> '' and chrom is not null) where x.exon_start <= x.exon_end"
 _PERIODS = f"""with ex as ({_EXONS}),
@@ -105,6 +116,8 @@ ORACLE = {
       cast(coalesce(sum(last_pos - first_pos + 1) filter (where kind = 'gap'), 0) as bigint) uncovered from found group by 1, 2""",
     "p3_found": """with k as (select 'barcode' field_name, barcode key_value from read_assignments union all select 'gene_id', gene_id from read_assignments)
       select field_name, key_value from k where key_value not in ('*', '.', '') group by 1, 2 having count(*) * 50 >= (select count(*) from read_assignments)""",
+    "p3_barcode_reads": """with b as (select barcode, count(*) n from bu_reads group by 1), r as (select barcode, count(*) n from read_assignments where barcode not in ('*', '.', '') group by 1)
+      select r.barcode, r.n n_rows, coalesce(b.n, 0) n_bu_reads from r left join b on r.barcode = b.barcode""",
     "p3_barcode_stats": _KEYED("barcode"),
     "p3_gene_stats": _KEYED("gene_id"),
     "p3_gene_join": "select r.sample_id, g.gene_name, g.biotype, count(*) n_rows from read_assignments r left join ref_genes g on r.gene_id = g.gene_id group by 1, 2, 3",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,16 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder named by spark.checkpoint.dir; where that is unset, a temporary one of a local session only.
+
+    A cluster's executors don't share a machine's folder, so there the setting is required.
+    """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="strandloom-")
@@ -52,11 +58,3 @@ def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     """
     rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows and rows * row_bytes(df) <= max_bytes else df
-
-
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    """Join condition in which null equals null."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
