@@ -1,8 +1,9 @@
 """Byte-level BPE ids of whole texts with a public tokenizer's vocabulary file, many words at a time in numpy.
 
 A task cuts its texts into words by the tokenizer's pattern and encodes each distinct word once. Words of similar length
-form a padded matrix of byte ids; in each round every row merges its leftmost pair of minimum rank, pairs being looked
-up in a hash table, and rows without a mergeable pair leave the matrix.
+form a padded matrix of byte ids, however long they are; in each round every row merges its leftmost pair of minimum
+rank and the other places of that pair, pairs being looked up in a hash table; rows without a mergeable pair leave the
+matrix, and holes are closed up.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ TOKENIZER = "byte_bpe_50k"
 # Fixed value of the tokenizer: the pattern of its words.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Widest row of a matrix; longer words are merged one by one.
-WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64)
-ROWS = 1 << 14
+#: Letters of a matrix at most, unless a single word is longer.
+CELLS = 1 << 18
 #: Words and characters that a task holds at once; the words are then forgotten and encoded anew, with the same ids.
 KEPT_WORDS = 1 << 20
 CHUNK_CHARS = 4 << 20
@@ -40,6 +40,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def widths(longest: int) -> list[int]:
+    """Lengths that bound the buckets of words, each about a quarter above the one before, up to ``longest``."""
+    out = [2]
+    while out[-1] < longest:
+        out.append(out[-1] + max(1, out[-1] // 4))
+    return out
+
+
 class PairRanks:
     """Rank of each mergeable pair of ids in an open-addressing hash table; lookups are vectorised."""
 
@@ -85,6 +93,69 @@ class PairRanks:
         return np.where((left.ravel() >= 0) & (right.ravel() >= 0), ranks, NONE).reshape(shape)
 
 
+class _Cells:
+    """Rows of ids with holes (-1), each id's neighbours, and the rank of each id's pair with the next one."""
+
+    def __init__(self, ids: np.ndarray, ranks: np.ndarray) -> None:
+        self.ids = ids
+        self.ranks = np.full(ids.shape, NONE, np.int32)
+        self.ranks[:, :-1] = ranks
+        width = ids.shape[1]
+        self.width, self.used = width, (ids >= 0).sum(axis=1)
+        column = np.arange(width, dtype=np.int32)
+        self.before = np.tile(column - 1, (len(ids), 1))
+        self.after = np.where(column + 1 < self.used[:, None], column + 1, width).astype(np.int32)
+
+    def taken(self, rows: np.ndarray) -> _Cells:
+        some = object.__new__(_Cells)
+        some.width, some.used = self.width, self.used[rows]
+        some.ids, some.ranks, some.before, some.after = self.ids[rows], self.ranks[rows], self.before[rows], self.after[rows]
+        return some
+
+    def _packed(self, values: np.ndarray, fill: int) -> np.ndarray:
+        """``values`` of the ids without the holes, padded."""
+        row, column = np.nonzero(self.ids >= 0)
+        ends = np.cumsum(self.used)
+        out = np.full((len(self.ids), int(self.used.max(initial=0))), fill, np.int32)
+        out[row, np.arange(len(row)) - (ends - self.used)[row]] = values[row, column]
+        return out
+
+    def packed(self) -> np.ndarray:
+        return self._packed(self.ids, -1)
+
+    def closed_up(self) -> _Cells:
+        """Without holes, if they fill half of the widest row."""
+        if self.used.max() * 2 > self.width:
+            return self
+        return _Cells(self.packed(), self._packed(self.ranks, NONE)[:, :-1])
+
+    def merge(self, best: np.ndarray, merged: np.ndarray, rank_of: PairRanks) -> None:
+        """Merges the pairs of rank ``best``, one for each row, wherever they occur without overlap from the left."""
+        width = self.width
+        ids, ranks, before, after = (x.reshape(-1) for x in (self.ids, self.ranks, self.before, self.after))
+        at = np.flatnonzero(self.ranks == best[:, None])
+        base = at - at % width
+        second = base + after[at]
+        # Every other pair of a run in which each begins where the one before ends.
+        opens = np.r_[True, second[:-1] != at[1:]]
+        place = np.arange(len(at))
+        keep = (place - np.maximum.accumulate(np.where(opens, place, 0))) % 2 == 0
+        at, base, second = at[keep], base[keep], second[keep]
+        row = base // width
+        third = after[second]
+        ids[at], ids[second], ranks[second] = merged[best[row]], -1, NONE
+        after[at] = third
+        inner = third < width
+        before[(base + third)[inner]] = (at - base)[inner]
+        ranks[at] = NONE
+        ranks[at[inner]] = rank_of(ids[at[inner]], ids[(base + third)[inner]])
+        first = before[at]
+        inner = first >= 0
+        left = (base + first)[inner]
+        ranks[left] = rank_of(ids[left], ids[at[inner]])
+        self.used -= np.bincount(row, minlength=len(self.used))
+
+
 class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as handle:
@@ -98,45 +169,26 @@ class Vocabulary:
         self.ranks = PairRanks(np.array([ids[a] for a, _ in pairs]), np.array([ids[b] for _, b in pairs]))
 
     def matrix(self, rows: np.ndarray) -> np.ndarray:
-        """Ids of each row, padded with -1, from byte ids padded with -1."""
+        """Ids of each row, padded with -1, from byte ids padded with -1.
+
+        Each round every row merges its leftmost pair of minimum rank, with the further places of that pair that don't
+        overlap: a pair's rank lies above those of the pairs that its parts came from, so these are next in turn anyway.
+        Merged letters leave holes, which ``before`` and ``after`` step over until half of the matrix is holes.
+        """
         out = np.full(rows.shape, -1, np.int32)
-        ranks = self.ranks(rows[:, :-1], rows[:, 1:])
         place = np.arange(len(rows))
+        cells = _Cells(rows, self.ranks(rows[:, :-1], rows[:, 1:]))
         while True:
-            at = ranks.argmin(axis=1)
-            best = ranks[np.arange(len(rows)), at]
+            best = cells.ranks.min(axis=1)
             live = best != NONE
             if not live.all():
-                out[place[~live], : rows.shape[1]] = rows[~live]
-                rows, ranks, place, at, best = rows[live], ranks[live], place[live], at[live], best[live]
-            if not len(rows):
-                return out
-            each, width = np.arange(len(rows)), rows.shape[1]
-            new = self.merged[best]
-            source = np.arange(width - 1) + (np.arange(width - 1) > at[:, None])
-            rows = np.take_along_axis(rows, source, axis=1)
-            rows[each, at] = new
-            if width == 2:
-                out[place, :1] = rows
+                done = cells.taken(~live).packed()
+                out[place[~live], : done.shape[1]] = done
+                cells, place, best = cells.taken(live), place[live], best[live]
+            if not len(place):
                 return out
-            ranks = np.take_along_axis(ranks, np.minimum(source[:, :-1], width - 2), axis=1)
-            inside = np.flatnonzero(at > 0)
-            ranks[inside, at[inside] - 1] = self.ranks(rows[inside, at[inside] - 1], new[inside])
-            inside = np.flatnonzero(at < width - 2)
-            ranks[inside, at[inside]] = self.ranks(new[inside], rows[inside, at[inside] + 1])
-
-    def long_word(self, row: np.ndarray) -> np.ndarray:
-        """Ids of one long word. A pair's rank is above those of its parts, so all places of the minimum merge in one round."""
-        ranks = self.ranks(row[:-1], row[1:])
-        while len(row) > 1 and (best := ranks.min()) != NONE:
-            at = np.flatnonzero(ranks == best)
-            if len(at) > 1 and (np.diff(at) == 1).any():  # in a run of overlapping places every other one merges
-                run_start = np.maximum.accumulate(np.where(np.r_[True, np.diff(at) > 1], np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-            row[at] = self.merged[best]
-            row = np.delete(row, at + 1)
-            ranks = self.ranks(row[:-1], row[1:])
-        return row
+            cells.merge(best, self.merged, self.ranks)
+            cells = cells.closed_up()
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and number of ids of each word."""
@@ -145,22 +197,19 @@ class Vocabulary:
         starts = np.cumsum(sizes) - sizes
         parts, owner = [flat[starts[sizes == 1]]], [np.flatnonzero(sizes == 1)]
         low = 1
-        for width in WIDTHS:
+        for width in widths(int(sizes.max(initial=0))):
             of = np.flatnonzero((sizes > low) & (sizes <= width))
             low = width
-            for k in range(0, len(of), ROWS):
-                here = of[k : k + ROWS]
-                col = np.arange(width)
+            height = max(1, CELLS // width)
+            for k in range(0, len(of), height):
+                here = of[k : k + height]
+                col = np.arange(int(sizes[here].max()))
                 used = col < sizes[here][:, None]
                 rows = np.where(used, flat[np.minimum(starts[here][:, None] + col, len(flat) - 1)], -1).astype(np.int32)
                 ids = self.matrix(rows)
                 row, _ = np.nonzero(ids >= 0)
                 parts.append(ids[ids >= 0])
                 owner.append(here[row])
-        for w in np.flatnonzero(sizes > low):
-            ids = self.long_word(flat[starts[w] : starts[w] + sizes[w]].copy())
-            parts.append(ids)
-            owner.append(np.full(len(ids), w))
         ids, owners = np.concatenate(parts), np.concatenate(owner)
         order = np.argsort(owners, kind="stable")
         return ids[order], np.bincount(owners, minlength=len(words))

@@ -56,3 +56,15 @@ def test_real_texts(spark, library):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     want = dict(zip(texts, library(list(texts.values()))))
     assert {r["doc_id"]: r["ids"] for r in tokens.token_ids(docs, "doc_id", "text").collect()} == want
+
+
+def test_words_of_all_lengths_share_the_matrices(library, monkeypatch):
+    """Words from a byte to thousands of them, in matrices of several rows and of one."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice(letters) for _ in range(n)) for n in (*range(1, 140), 200, 500, 501, 3000) for letters in ("ab", "abcdefghijklmnop", "中文字幕的")]
+    for cells in (1 << 7, tokens.CELLS):
+        monkeypatch.setattr(tokens, "CELLS", cells)
+        ids, sizes = tokens.Vocabulary(PATH).encode([w.encode() for w in words])
+        ends = sizes.cumsum()
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes)] == library(words)
+    assert tokens.widths(7) == [2, 3, 4, 5, 6, 7] and tokens.widths(1000)[-1] >= 1000
