@@ -98,3 +98,51 @@ def test_a_start_is_never_an_end(spark, tmp_path):
     seq = {r["tx_key"]: len(r["boundaries"]) for r in queries._boundaries(spark, str(tmp_path)).collect()}
     assert seq == {k: len(s) for k, _, _, s in sides}
     assert {r["tx_key"]: r["n_links"] for r in queries.p5_links(spark, str(tmp_path)).collect()} == {k: int(k in (5, 7, 8, 9)) for k in exons}
+
+
+def test_last_level_is_compared_by_blocks(spark):
+    """Buckets that stay crowded at the last level lose no pair."""
+    rows = records(200, 11, shared=3)
+    df = spark.createDataFrame(rows, "tx bigint, chrom string, strand string, seq array<int>").repartition(3)
+    found = [tuple(r) for r in near_pairs(df, "tx", ["chrom", "strand"], "seq", 0.75, bucket=4, deepest=2).collect()]
+    assert len(found) == len(set(found)) and set(found) == jaccard_pairs(rows, 0.75)
+
+
+def test_recall_in_a_crowded_locus(spark):
+    """Many records that share boundaries and few of which are alike: at least nine tenths of the planted pairs are found."""
+    rng = random.Random(5)
+    shared, rows, planted = list(range(6)), [], set()
+    for i in range(0, 1200, 2):
+        own = rng.sample(range(10, 4000), rng.choice([1, 2, 4, 8, 12]))
+        rows += [(i, "c", "+", sorted(shared + own)), (i + 1, "c", "+", sorted(shared + own[1:] + [5000 + i] * (len(own) > 7)))]
+    planted = {p for p in jaccard_pairs(rows, 0.75) if rows[p[0]][3] != rows[p[1]][3]}
+    df = spark.createDataFrame(rows, "tx bigint, chrom string, strand string, seq array<int>").repartition(4)
+    found = {tuple(r) for r in near_pairs(df, "tx", ["chrom", "strand"], "seq", 0.75, bucket=32).collect()}
+    assert len(planted) > 500 and found <= jaccard_pairs(rows, 0.75)
+    assert len(planted & found) >= 0.9 * len(planted)
+
+
+def test_records_of_a_class_are_paired_by_blocks(spark, monkeypatch):
+    """A class of many equal records, alone and linked to another such class."""
+    monkeypatch.setattr(near, "COPIES", 7)
+    rows = [(i, "c", "+", [1, 2, 3, 4] if i % 2 else [1, 2, 3, 4, 5]) for i in range(80)] + [(100 + i, "c", "+", [7, 8]) for i in range(30)] + [(200, "c", "+", [9])]
+    df = spark.createDataFrame(rows, "tx bigint, chrom string, strand string, seq array<int>").repartition(3)
+    found = [tuple(r) for r in near_pairs(df, "tx", ["chrom", "strand"], "seq", 0.75).collect()]
+    assert len(found) == len(set(found)) and set(found) == jaccard_pairs(rows, 0.75)
+
+
+def test_sketches_keep_the_order_of_the_sequence():
+    """The k-mers of smallest hash, further ones among those left, by rising place; none beyond a row's size."""
+    rng = np.random.default_rng(1)
+    kmers = rng.integers(0, 2**63, (50, 9)).astype(np.uint64)
+    sizes = rng.integers(1, 10, 50)
+    seeds = [rng.integers(0, 99, 50).astype(np.uint64) for _ in range(3)]
+    found = near.picked(kmers, sizes, seeds, 2)
+    for row, n, at, *seed in zip(kmers, sizes, found, *seeds):
+        left, want = list(range(n)), []
+        for level, s in enumerate(seed):
+            for _ in range(2 if level == 0 else 1):
+                if left:
+                    want.append(min(left, key=lambda i: near._mixed(row[i : i + 1] ^ near._mixed(np.array([s])))[0]))
+                    left.remove(want[-1])
+        assert at.tolist() == sorted(want) + [9] * (4 - len(want))
