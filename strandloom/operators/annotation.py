@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.gtf import attribute, attributes, exon_count, first_start, is_reference, junctions, last_end, trimmed
+from strandloom.functions.gtf import attribute, attributes, exon_count, first_start, is_reference, last_end, trimmed
 from strandloom.operators.matrix import numbered
 from strandloom.shared import if_small, written
 
 MIN_READS, MIN_SAMPLES, END_TOL, JUNCTION_TOL = 5, 2, 100, 10
-#: Width of the genome bins in which islands of starts are found.
-BIN = 1 << 20
+#: Width of the bins of starts and of ends in which leaders are found; at least four times the tolerance of the ends.
+BIN = 1 << 12
 GTF_FIELDS = ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
 
 
@@ -79,32 +82,6 @@ def last_references(tx: DataFrame) -> DataFrame:
     return ref.groupBy("transcript_id").agg(last).select("transcript_id", "m.*")
 
 
-def _islands(df: DataFrame, value: Column, tol: int) -> DataFrame:
-    """``df`` with its island divided wherever sorted values are more than ``tol`` apart: no match can cross such a gap."""
-    w = Window.partitionBy("chrom", "strand", "n", "island").orderBy("at")
-    cut = df.withColumn("at", value).withColumn("step", F.when(F.col("at") - F.lag("at").over(w) > tol, 1).otherwise(0))
-    run = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return cut.withColumn("island", F.xxhash64("island", run)).drop("at", "step")
-
-
-def _start_islands(df: DataFrame, tol: int) -> DataFrame:
-    """``df`` (chrom, strand, n and exons) with island: runs of starts within ``tol`` of the next.
-
-    Runs are counted within bins of the genome, then over the bins (at most 2^31 / BIN of a bucket), so a bucket isn't one task.
-    """
-    key = ["chrom", "strand", "n"]
-    here = Window.partitionBy(*key, "bin").orderBy("at")
-    local = df.withColumn("at", first_start(F.col("exons"))).withColumn("bin", F.floor(F.col("at") / BIN))
-    local = local.withColumn("step", F.when(F.col("at") - F.lag("at").over(here) > tol, 1).otherwise(0)).withColumn("run", F.sum("step").over(here.rowsBetween(Window.unboundedPreceding, 0)))
-    local = written(local.drop("step"), "starts")
-    bins = local.groupBy(*key, "bin").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.max("run").alias("inner"))
-    over = Window.partitionBy(*key).orderBy("bin")
-    opened = bins.withColumn("opens", F.when(F.col("lo") - F.lag("hi").over(over) > tol, 1).otherwise(0))
-    before = F.coalesce(F.sum("inner").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = opened.select(*key, "bin", (F.sum("opens").over(over.rowsBetween(Window.unboundedPreceding, 0)) + before).alias("offset"))
-    return local.join(offsets, [*key, "bin"]).withColumn("island", F.col("run") + F.col("offset")).drop("at", "bin", "run", "offset")
-
-
 def _match(a: str, b: str, end_tol: int, junction_tol: int) -> str:
     """SQL: whether exon lists of equal size match, the cheap test of the ends first."""
     n = f"size({a})"
@@ -113,37 +90,127 @@ def _match(a: str, b: str, end_tol: int, junction_tol: int) -> str:
     return f"({ends} and ({n} = 1 or forall(sequence(0, greatest({n} - 2, 0)), i -> {near})))"
 
 
+def _binned(rows: DataFrame, width: int, shift: int, tol: int) -> DataFrame:
+    """``rows`` in each cell that holds a structure which they could match, with own: whether the cell is their own."""
+    near = lambda at, by: F.floor((F.col(at) + F.lit(shift + by)) / width)
+    both = rows.select("*", near("first_at", 0).alias("own_first"), near("last_at", 0).alias("own_last"), F.explode(F.sequence(near("first_at", -tol), near("first_at", tol))).alias("first_bin"))
+    both = both.withColumn("last_bin", F.explode(F.sequence(near("last_at", -tol), near("last_at", tol))))
+    cell = F.concat_ws("\t", "chrom", "strand", "n", "first_bin", "last_bin")
+    own = (F.col("own_first") == F.col("first_bin")) & (F.col("own_last") == F.col("last_bin"))
+    return both.select(*rows.columns, cell.alias("cell"), own.alias("own"))
+
+
+class _Scan:
+    """One cell's structures in order: the leaders so far, and those that may turn out to be leaders."""
+
+    def __init__(self, end_tol: int, junction_tol: int) -> None:
+        self.tols = end_tol, junction_tol
+        self.near: dict[tuple[int, int], list[tuple[int, bool, list[int]]]] = {}
+
+    def _place(self, x: list[int]) -> tuple[int, int]:
+        """Cell of the first donor and last acceptor, of both ends if there is one exon."""
+        tol = 1 + self.tols[len(x) > 2]
+        return (x[1] // tol, x[-2] // tol) if len(x) > 2 else (x[0] // tol, x[1] // tol)
+
+    def add(self, ord: int, sure: bool, x: list[int]) -> None:
+        self.near.setdefault(self._place(x), []).append((ord, sure, x))
+
+    def first(self, x: list[int]) -> tuple[int | None, int | None]:
+        """Order numbers of the first leader and of the first possible leader that ``x`` matches."""
+        end_tol, junction_tol = self.tols
+        a, b = self._place(x)
+        found: list[int | None] = [None, None]
+        for at in ((a + i, b + j) for i in (-1, 0, 1) for j in (-1, 0, 1)):
+            for ord, sure, y in self.near.get(at, ()):
+                if (found[not sure] is None or ord < found[not sure]) and abs(x[0] - y[0]) <= end_tol and abs(x[-1] - y[-1]) <= end_tol and all(abs(p - q) <= junction_tol for p, q in zip(x[1:-1], y[1:-1])):
+                    found[not sure] = ord
+        return found[0], found[1]
+
+
+#: States of a structure: it may be a leader, is one, follows a leader not yet sure to be the first, follows ``leader``.
+OPEN, LEADS, FOLLOWS, PLACED = range(4)
+_SCANNED = "chrom string, strand string, n int, at array<int>, ord bigint, first_at int, last_at int, state int, leader bigint"
+
+
+def _scanned(rows: DataFrame, end_tol: int, junction_tol: int) -> DataFrame:
+    """One round over ``rows`` (those of _SCANNED, cell, own): the undecided structures of their own cells with their new state.
+
+    A task reads its cells one after another in order; it holds the leaders and possible leaders of one cell.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, scan = None, None
+        for pdf in batches:
+            states, placed = pdf["state"].to_numpy().copy(), pdf["leader"].to_numpy().astype(object)
+            for i, (c, own, state, ord, at) in enumerate(zip(pdf["cell"], pdf["own"], pdf["state"], pdf["ord"], pdf["at"])):
+                if c != cell:
+                    cell, scan = c, _Scan(end_tol, junction_tol)
+                at = at.tolist()
+                if state == LEADS:
+                    scan.add(ord, True, at)
+                    continue
+                if state == FOLLOWS and not own:
+                    continue
+                leader, possible = scan.first(at)
+                if leader is not None:
+                    states[i] = FOLLOWS if possible is not None and possible < leader else PLACED
+                    placed[i] = leader
+                elif own and possible is None:
+                    states[i], placed[i] = LEADS, ord
+                    scan.add(ord, True, at)
+                else:
+                    scan.add(ord, False, at)
+            kept = (pdf["own"] & (pdf["state"] != LEADS)).to_numpy()
+            out = pdf.drop(columns=["cell", "own"])
+            out["state"], out["leader"] = states, pd.array(placed, dtype="Int64")
+            yield out[kept]
+
+    return rows.repartition("cell").sortWithinPartitions("cell", "ord").mapInPandas(run, _SCANNED)
+
+
 def leaders(tx: DataFrame, end_tol: int = END_TOL, junction_tol: int = JUNCTION_TOL) -> DataFrame:
     """(chrom, strand, n, exons, ord, leader): each distinct structure with the order number of its group's leader.
 
     Transcripts are taken in order; one joins the first group whose leader it matches, else it leads a new group. Equal
-    structures always share a group, so they are collapsed first. Structures are then divided at gaps of the start, the
-    end, the first donor and the last acceptor that no match can cross, and each such island is folded on its own.
+    structures always share a group, so they are collapsed first. A structure leads if no earlier leader matches it, and
+    only structures near by can. So cells of starts and ends are scanned at the same time, each with copies of what lies
+    within the tolerance of its borders; what depends on an undecided structure of another cell waits for the next round,
+    in which the borders lie elsewhere. A round decides at least the earliest structure that is left of each locus.
     """
     rows = tx.select(F.coalesce("chrom", F.lit(".")).alias("chrom"), F.coalesce("strand", F.lit(".")).alias("strand"), "exons", "ord").withColumn("n", exon_count(F.col("exons")))
     structures = rows.groupBy("chrom", "strand", "n", "exons").agg(F.min("ord").alias("ord"))
-    structures = _start_islands(structures, end_tol)
-    joins = junctions(F.col("exons"))
-    edges = (last_end(F.col("exons")), end_tol), (F.coalesce(F.get(joins, F.lit(0))["donor"], F.lit(0)), junction_tol), (F.coalesce(F.try_element_at(joins, F.lit(-1))["acceptor"], F.lit(0)), junction_tol)
-    for value, tol in edges:
-        structures = _islands(structures, value, tol)
-    grouped = structures.groupBy("chrom", "strand", "n", "island").agg(F.array_sort(F.collect_list(F.struct("ord", "exons"))).alias("xs"))
-    fold = f"aggregate(xs, filter(xs, x -> false), (acc, x) -> if(exists(acc, l -> {_match('l.exons', 'x.exons', end_tol, junction_tol)}), acc, array_append(acc, x)))"
-    led = grouped.withColumn("led", F.expr(fold)).select("chrom", "strand", "n", "led", F.explode("xs").alias("x"))
-    first = F.expr(f"filter(led, l -> {_match('l.exons', 'x.exons', end_tol, junction_tol)})[0].ord")
-    return led.select("chrom", "strand", "n", "x.exons", "x.ord", first.alias("leader"))
+    flat = F.flatten(F.transform("exons", lambda x: F.array(x["start"], x["end"])))
+    left = structures.select("chrom", "strand", "n", flat.alias("at"), "ord", first_start(F.col("exons")).alias("first_at"), last_end(F.col("exons")).alias("last_at"), F.lit(OPEN).alias("state"), F.lit(None).cast("bigint").alias("leader"))
+    left = written(left, "structures")
+    width = max(BIN, 4 * (end_tol + 1))
+    rounds: list[DataFrame] = []
+    while not left.isEmpty():
+        shift = width // 2 * (len(rounds) % 2)
+        cells = _binned(left, width, shift, end_tol)
+        for done in rounds:
+            cells = cells.unionByName(_binned(done.where(F.col("state") == LEADS), width, shift, end_tol))
+        if rounds:
+            busy = written(_binned(left, width, shift, end_tol).where("own").select("cell").distinct(), "cells")
+            cells = cells.join(if_small(busy), "cell", "left_semi").select(cells.columns)
+        rounds.append(written(_scanned(cells, end_tol, junction_tol), "round"))
+        left = rounds[-1].where(F.col("state").isin(OPEN, FOLLOWS))
+    decided = left.limit(0)
+    for done in rounds:
+        decided = decided.unionByName(done.where(F.col("state").isin(LEADS, PLACED)))
+    exons = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(F.get("at", 2 * i).alias("start"), F.get("at", 2 * i + 1).alias("end")))
+    return decided.select("chrom", "strand", "n", exons.cast(tx.schema["exons"].dataType).alias("exons"), "ord", "leader")
 
 
 def close_pairs(tx: DataFrame, end_tol: int = END_TOL, junction_tol: int = JUNCTION_TOL) -> DataFrame:
     """(left_ord, right_ord), left_ord < right_ord: pairs of distinct structures that match, each named by its first transcript.
 
-    A range join on equal keys: the start and the first donor are cut into bins of their tolerance, and the one side
-    looks into its own bin and those beside it.
+    A range join on equal keys: the start and the first donor, of a single exon its end, are cut into bins of their
+    tolerance, and the one side looks into its own bin and those beside it.
     """
     rows = tx.select(F.coalesce("chrom", F.lit(".")).alias("chrom"), F.coalesce("strand", F.lit(".")).alias("strand"), "exons", "ord").withColumn("n", exon_count(F.col("exons")))
     one = rows.groupBy("chrom", "strand", "n", "exons").agg(F.min("ord").alias("ord"))
-    donor = F.when(F.col("n") > 1, F.get("exons", F.lit(0))["end"]).otherwise(0)
-    binned = one.withColumns({"start_bin": F.floor(first_start(F.col("exons")) / (end_tol + 1)), "donor_bin": F.floor(donor / (junction_tol + 1))})
+    donor_tol = F.when(F.col("n") > 1, junction_tol + 1).otherwise(end_tol + 1)
+    binned = one.withColumns({"start_bin": F.floor(first_start(F.col("exons")) / (end_tol + 1)), "donor_bin": F.floor(F.get("exons", F.lit(0))["end"] / donor_tol)})
     beside = lambda c: F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)).alias(c)
     key = ["chrom", "strand", "n", "start_bin", "donor_bin"]
     right = binned.select("chrom", "strand", "n", F.col("exons").alias("other"), F.col("ord").alias("right_ord"), beside("start_bin"), "donor_bin").select("chrom", "strand", "n", "other", "right_ord", "start_bin", beside("donor_bin"))

@@ -60,6 +60,18 @@ def test_chain_and_tolerances(spark):
     assert ann.collapsed(ann.novel_groups(transcripts(spark, [mono(0, 1)]).limit(0))).count() == 0
 
 
+def test_chains_over_many_cells(spark, monkeypatch):
+    """Starts and ends that run on over many cells, in order, in turned order and at random: each decides the next."""
+    monkeypatch.setattr(ann, "BIN", 404)
+    rng = random.Random(8)
+    at = list(range(0, 9000, 30))
+    for order in (at, at[::-1], rng.sample(at, len(at))):
+        rows = [(i % 3, f"t{i}", "c", "+", [(a, a + rng.choice([500, 590, 650]))], False) for i, a in enumerate(order)]
+        found = ann.collapsed(ann.novel_groups(transcripts(spark, rows), 100, 10, 1)).collect()
+        got = [([tuple(x) for x in r["exons"]], r["n_samples"], r["n_members"]) for r in sorted(found, key=lambda r: r["transcript_id"])]
+        assert got == [(list(x), s, m) for x, s, m in scan(rows, 100, 10, 1)]
+
+
 def lines(spark, texts, sample="s0"):
     return spark.createDataFrame([(sample, i, x) for i, x in enumerate(texts)], "sample_id string, ord bigint, line string")
 
