@@ -2,12 +2,15 @@
 
 Compact windows: the tokens of a text are the hashes of its ``gram``-code-point pieces. In the Cartesian tree of the
 hashes, a node that is minimal over at least ``length - gram + 1`` tokens stands for every stretch of ``length`` code
-points whose smallest token it is: a run of first positions, from first_at to last_at. Each stretch has one such window,
-and equal stretches have windows of equal minimum, so only windows whose minimum occurs in two documents matter; one hash
-function is enough for exact sharing. Windows of equal minimum are then verified on the text's hashes: windows whose
-whole region (all their stretches together) occurs in two documents are shared as they are, and the single stretches of
-the others are compared. Equal texts collapse in partial aggregates before every shuffle, so a passage that a third
-of the documents hold costs each task a few rows.
+points whose first smallest token it is: an interval of first positions, from first_at to last_at. Equal stretches have
+windows of equal minimum under every hash function, so all functions that are asked must agree. Windows whose minimum
+occurs in one document only are left out; what the others cover is a region of text. Regions that occur as a whole in
+two documents, code point for code point, are shared as they are. Over the others a second hash function's windows are
+laid: only the intervals that both windows cover, and whose two minima occur together in two documents, are left, and
+their stretches are compared one by one, again code point for code point.
+
+Equal texts collapse in partial aggregates before every shuffle, so a passage that a third of the documents hold costs
+each task a few rows.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,28 +69,40 @@ class Chunk:
         raw = (self.prefix[begin + size] - self.prefix[begin]) * self.inverse[begin]
         return mix(raw ^ np.uint64(BASE) * np.asarray(size, np.uint64))
 
-    def windows(self, length: int, gram: int) -> tuple[np.ndarray, ...]:
-        """(text, minimum, first_at, last_at, region hash) of each window; positions within the chunk."""
-        n, reach = len(self.points), length - gram + 1
-        room = np.repeat(self.ends, self.sizes) - np.arange(n)
-        low = np.full(n, TOP, np.uint64)
-        whole = np.flatnonzero(room >= gram)
-        low[whole] = self.hashes(whole, gram)
-        at, width = np.arange(n), 1
-        value = low
-        while width < reach:  # leftmost minimum over 1, 2, 4 ... tokens from each position on
-            step = min(width, reach - width)
-            right = value[step:] < value[:-step] if n > step else np.empty(0, bool)
-            value, at = value.copy(), at.copy()
-            moved = np.flatnonzero(right)
-            value[moved], at[moved] = value[moved + step], at[moved + step]
-            width += step
-        begin = np.flatnonzero(room >= length)
-        owner = at[begin]
-        cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(begin) else begin
-        first, last = begin[cut], begin[np.r_[cut[1:], len(begin)] - 1] if len(begin) else begin
-        text = np.searchsorted(self.ends, first, side="right")
-        return text, low[owner[cut]], first, last, self.hashes(first, last - first + length)
+    def windows(self, length: int, gram: int, function: int = 0) -> tuple[np.ndarray, ...]:
+        """(text, minimum, first_at, last_at) of each window under a hash function, by place; positions within the chunk.
+
+        The Cartesian tree is divided from its roots, the texts, down, all nodes of a level at once; a node's equal minima
+        divide it together, and what holds too few tokens for a stretch is left out.
+        """
+        reach = length - gram + 1
+        lo, hi = self.ends - self.sizes, self.ends - gram  # first and last token of each text
+        value = np.full(len(self.points) + 1, TOP, np.uint64)
+        whole = np.arange(max(0, len(self.points) - gram + 1))
+        value[whole] = mix(self.hashes(whole, gram) + np.uint64(function))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while True:
+            large = hi - lo + 1 >= reach
+            lo, hi = lo[large], hi[large]
+            if not len(lo):
+                break
+            least = np.minimum.reduceat(value, np.stack([lo, hi + 1], axis=1).ravel())[::2]
+            size = hi - lo + 1
+            ends = np.cumsum(size)
+            tokens = np.arange(ends[-1]) + np.repeat(lo - (ends - size), size)
+            hits = np.flatnonzero(value[tokens] == np.repeat(least, size))
+            at, node = tokens[hits], np.searchsorted(ends, hits, side="right")
+            other = node[1:] != node[:-1]
+            begin = np.where(np.r_[True, other], lo[node], np.r_[0, at[:-1] + 1])
+            first, last = np.maximum(begin, at - reach + 1), np.minimum(at, hi[node] - reach + 1)
+            some = first <= last
+            found.append((value[at[some]], first[some], last[some]))
+            end = np.flatnonzero(np.r_[other, True])
+            lo = np.insert(begin, end + 1, at[end] + 1)
+            hi = np.insert(at - 1, end + 1, hi[node[end]])
+        low, first, last = (np.concatenate(x) for x in zip(*found)) if found else (value[:0], whole[:0], whole[:0])
+        order = np.argsort(first, kind="stable")
+        return np.searchsorted(self.ends, first[order], side="right"), low[order], first[order], last[order]
 
 
 def _chunked(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -104,43 +118,42 @@ def _chunked(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield begin, chunk
 
 
-def compact_windows(df: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, low bigint, first_at int, last_at int, region bigint) of every window of (doc, text); no shuffle."""
+def with_windows(df: DataFrame, length: int, gram: int, function: int = 0, keep_text: bool = True) -> DataFrame:
+    """``df`` with windows array<struct<low bigint, first_at int, last_at int>>: those of its column text; no shuffle."""
+    fields = [pa.field("low", pa.int64()), pa.field("first_at", pa.int32()), pa.field("last_at", pa.int32())]
+    kept = [c for c in df.columns if keep_text or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, texts in _chunked(batch.column(1).to_pylist()):
+            for begin, texts in _chunked(batch.column(batch.schema.get_field_index("text")).to_pylist()):
                 chunk = Chunk(texts)
-                text, low, first, last, region = chunk.windows(length, gram)
+                text, low, first, last = chunk.windows(length, gram, function)
                 start = (chunk.ends - chunk.sizes)[text]
-                columns = [batch.column(0).take(pa.array(text + begin)), pa.array(low.view(np.int64)), pa.array((first - start).astype(np.int32)), pa.array((last - start).astype(np.int32)), pa.array(region.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "low", "first_at", "last_at", "region"])
+                each = pa.StructArray.from_arrays([pa.array(low.view(np.int64)), pa.array((first - start).astype(np.int32)), pa.array((last - start).astype(np.int32))], fields=fields)
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)), each)
+                columns = [batch.column(batch.schema.get_field_index(c)).slice(begin, len(texts)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, lists], names=[*kept, "windows"])
 
-    return df.select("doc", "text").mapInArrow(run, f"doc {df.schema['doc'].dataType.simpleString()}, low bigint, first_at int, last_at int, region bigint")
+    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in kept)
+    return df.mapInArrow(run, f"{schema}, windows array<struct<low: bigint, first_at: int, last_at: int>>")
 
 
-def _stretch_hashes(df: DataFrame, length: int, kind: str) -> DataFrame:
-    """(low, region, lo, hi, stretches array<bigint>) of each of the ``windows`` of (text, windows)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for begin, texts in _chunked(pdf["text"].tolist()):
-                chunk = Chunk(texts)
-                rows = pd.DataFrame([w if isinstance(w, dict) else w.asDict() for ws in pdf["windows"].iloc[begin : begin + len(texts)] for w in ws])
-                counts = [len(ws) for ws in pdf["windows"].iloc[begin : begin + len(texts)]]
-                start = np.repeat(chunk.ends - chunk.sizes, counts) + rows["first_at"].to_numpy()
-                n = (rows["last_at"] - rows["first_at"] + 1).to_numpy()
-                cuts = np.cumsum(n)
-                each = np.repeat(start - (cuts - n), n) + np.arange(cuts[-1])
-                low = np.repeat(rows["low"].to_numpy(np.int64).view(np.uint64), n)
-                rows["stretches"] = np.split((chunk.hashes(each, length) ^ mix(low)).view(np.int64), cuts[:-1])
-                yield rows[["low", "region", "lo", "hi", "stretches"]]
+def _in_two(lo: str, hi: str):
+    return F.col(lo) < F.col(hi)
 
-    return df.select("text", "windows").mapInPandas(run, f"low bigint, region bigint, lo {kind}, hi {kind}, stretches array<bigint>")
 
+def _region_texts(docs: DataFrame, lows: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc, low, first_at, last_at, text): each window of the minima ``lows``, a written table, with the code points that its stretches cover.
 
-def _in_two(lo: str, hi: str):
-    return F.col(lo) < F.col(hi)
+    If the minima are few enough to be broadcast, a document's windows are cut out of its text and filtered where they are
+    found. Else the windows are filtered by a shuffle first, and texts join what is left of their windows.
+    """
+    cut = F.expr(f"transform(windows, w -> struct(w.low as low, w.first_at as first_at, w.last_at as last_at, substring(text, w.first_at + 1, w.last_at - w.first_at + {length}) as text))")
+    if lows.count() * 8 <= BROADCAST_BYTES:
+        return with_windows(docs, length, gram).select("doc", F.inline(cut)).join(F.broadcast(lows), "low")
+    met = with_windows(docs, length, gram, keep_text=False).select("doc", F.inline("windows")).join(lows, "low")
+    lists = met.groupBy("doc").agg(F.collect_list(F.struct("low", "first_at", "last_at")).alias("windows"))
+    return docs.join(lists, "doc").select("doc", F.inline(cut))
 
 
 def shared_spans(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
@@ -149,28 +162,34 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH
 
     Null, empty and shorter texts share nothing; rows without an id are left out; rows of one id are one document. Whole
     texts are compared as they are, repeated ones included; an empty table gives no rows; other columns are dropped.
-    Stretches are compared by 64-bit hashes within windows of equal 64-bit minimum.
+    Hashes only name what is compared: what is shared is decided on the code points.
     """
     gram = max(1, int(length * GRAM_SHARE))
     docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where(F.length("text") >= length)
-    kind = docs.schema["doc"].dataType.simpleString()
-    windows = compact_windows(docs, length, gram)
+    both = F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    windows = with_windows(docs, length, gram, keep_text=False).select("doc", F.explode("windows.low").alias("low"))
     lows = written(windows.groupBy("low").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where(_in_two("lo", "hi")).select("low"), "lows")
-    met = written(windows.join(if_small(lows), "low"), "windows")
+    held = written(_region_texts(docs, lows, length, gram).select("doc", "low", "first_at", "last_at", "text"), "held")
 
-    regions = written(met.groupBy("low", "region").agg(F.min(F.struct("doc", "first_at", "last_at")).alias("at"), F.max("doc").alias("hi")).select("low", "region", "at.*", F.col("doc").alias("lo"), "hi"), "regions")
-    whole = met.join(if_small(regions.where(_in_two("lo", "hi")).select("low", "region")), ["low", "region"], "left_semi").select("doc", F.col("first_at").alias("a"), (F.col("last_at") + length).alias("b"))
+    # Texts are compared once; then two hashes and the length name them.
+    name = lambda c: F.struct(F.xxhash64(c).alias("h"), F.xxhash64(c, F.lit(1)).alias("i"), F.length(c).alias("n"))
+    members = held.select("doc", "low", name("text").alias("region"), "first_at", "last_at")
+    regions = written(held.groupBy("low", "text").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")), "regions")
+    whole = written(regions.where(_in_two("lo", "hi")).select("low", name("text").alias("region")), "whole")
+    whole = members.join(if_small(whole), ["low", "region"], "left_semi").select("doc", F.col("first_at").alias("a"), (F.col("last_at") + length).alias("b"))
 
     open_lows = regions.groupBy("low").agg(F.count("*").alias("n"), F.count_if(~_in_two("lo", "hi")).alias("single")).where("n > 1 and single > 0").select("low")
-    undecided = written(regions.join(if_small(written(open_lows, "open")), "low", "left_semi"), "undecided")
-    by_doc = undecided.groupBy("doc").agg(F.collect_list(F.struct("low", "region", "first_at", "last_at", "lo", "hi")).alias("windows"))
-    by_doc = F.broadcast(by_doc) if undecided.count() * 64 <= BROADCAST_BYTES else by_doc
-    hashes = written(_stretch_hashes(docs.join(by_doc, "doc"), length, kind), "stretches")
-    twice = hashes.select("lo", "hi", F.explode("stretches").alias("h")).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(_in_two("lo", "hi")).select("h")
-    single = hashes.where(~_in_two("lo", "hi")).select("low", "region", F.posexplode("stretches").alias("o", "h"))
+    undecided = with_windows(regions.join(if_small(written(open_lows, "open")), "low", "left_semi").select("low", "text", "lo", "hi"), length, gram, function=1)
+    undecided = written(undecided.withColumnRenamed("low", "low1"), "undecided")
+    pairs = undecided.select("low1", "lo", "hi", F.explode("windows.low").alias("low")).groupBy("low1", "low").agg(*both).where(_in_two("lo", "hi")).select("low1", "low")
+    each = undecided.select("low1", "text", "lo", "hi", F.inline("windows")).join(if_small(written(pairs, "pairs")), ["low1", "low"])
+    cut = F.expr(f"transform(sequence(first_at, last_at), o -> struct(o as o, substring(text, o + 1, {length}) as stretch))")
+    stretches = each.select(F.col("low1").alias("low"), name("text").alias("region"), "lo", "hi", F.explode(cut).alias("s")).select("low", "region", "lo", "hi", "s.o", "s.stretch")
+    twice = stretches.groupBy("low", "stretch").agg(*both).where(_in_two("lo", "hi")).select("low", name("stretch").alias("stretch"))
+    single = stretches.where(~_in_two("lo", "hi")).select("low", "region", "o", name("stretch").alias("stretch"))
     # At most ``length - gram + 1`` places of each region.
-    places = single.join(if_small(written(twice, "twice")), "h", "left_semi").groupBy("low", "region").agg(F.collect_set("o").alias("places"))
-    parts = met.join(places, ["low", "region"]).select("doc", "first_at", F.explode("places").alias("o")).select("doc", (F.col("first_at") + F.col("o")).alias("a"), (F.col("first_at") + F.col("o") + length).alias("b"))
+    places = single.join(if_small(written(twice, "twice")), ["low", "stretch"], "left_semi").groupBy("low", "region").agg(F.collect_set("o").alias("places"))
+    parts = members.join(places, ["low", "region"]).select("doc", "first_at", F.explode("places").alias("o")).select("doc", (F.col("first_at") + F.col("o")).alias("a"), (F.col("first_at") + F.col("o") + length).alias("b"))
 
     by_place = Window.partitionBy("doc").orderBy("a", "b")
     before = F.max("b").over(by_place.rowsBetween(Window.unboundedPreceding, -1))

@@ -49,18 +49,26 @@ def test_without_broadcast_and_small_chunks(spark, monkeypatch):
     assert {tuple(r) for r in spans.shared_spans(df, "id", "text", 20).collect()} == brute(docs, 20)
 
 
-def test_windows_cover_each_stretch_once():
-    texts = [t for _, t in corpus(5) if t] + ["", "x" * 30]
+@pytest.mark.parametrize("function", [0, 1])
+def test_windows_are_the_nodes_of_the_tree(function):
+    """Each stretch lies in one window, whose minimum is that of its tokens, at its first smallest token."""
+    texts = [t for _, t in corpus(5) if t] + ["", "x" * 30, "ab" * 300]
     chunk = spans.Chunk(texts)
-    text, low, first, last, region = chunk.windows(20, 6)
+    text, low, first, last = chunk.windows(20, 6, function)
     covered = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
     want = [s + i for s, t in zip(chunk.ends - chunk.sizes, texts) for i in range(len(t) - 19)]
     assert covered.tolist() == want
-    whole = "".join(texts)
-    by = {}
-    for a, b, r in zip(first, last, region):
-        by.setdefault(r, set()).add(whole[a : b + 20])
-    assert all(len(x) == 1 for x in by.values())
+    tokens = spans.mix(chunk.hashes(np.arange(len(chunk.points) - 5), 6) + np.uint64(function))
+    for t, w, a, b in zip(text, low, first, last):
+        assert chunk.ends[t] - chunk.sizes[t] <= a <= b <= chunk.ends[t] - 20
+        at = {i + int(tokens[i : i + 15].argmin()) for i in range(a, b + 1)}
+        assert len(at) == 1 and tokens[at.pop()] == w
+
+
+def test_trees_of_equal_tokens_stay_low():
+    """Periodic texts of a million letters: equal minima divide a node together."""
+    text, low, first, last = spans.Chunk(["a" * 1_000_000 + "b", "abc" * 200_000]).windows(80, 24)
+    assert (last - first + 1).sum() == 1_000_001 - 79 + 600_000 - 79
 
 
 def test_empty_and_long(spark):
