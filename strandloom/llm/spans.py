@@ -142,18 +142,40 @@ def _in_two(lo: str, hi: str):
     return F.col(lo) < F.col(hi)
 
 
+def _cut_out(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc, low, first_at, last_at, text): the windows of (doc, text), or those in its column windows, with their stretches' code points."""
+    given = "windows" in docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, texts in _chunked(batch.column(1).to_pylist()):
+                if given:
+                    lists = batch.column(2).slice(begin, len(texts))
+                    text, flat = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()), lists.flatten()
+                    low, first, last = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                else:
+                    chunk = Chunk(texts)
+                    text, low, first, last = chunk.windows(length, gram)
+                    start = (chunk.ends - chunk.sizes)[text]
+                    low, first, last = low.view(np.int64), first - start, last - start
+                pieces = [texts[t][a:b] for t, a, b in zip(text.tolist(), first.tolist(), (last + length).tolist())]
+                columns = [batch.column(0).take(pa.array(text + begin)), pa.array(low, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(pieces, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "low", "first_at", "last_at", "text"])
+
+    return docs.mapInArrow(run, f"doc {docs.schema['doc'].dataType.simpleString()}, low bigint, first_at int, last_at int, text string")
+
+
 def _region_texts(docs: DataFrame, lows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, low, first_at, last_at, text): each window of the minima ``lows``, a written table, with the code points that its stretches cover.
+    """(doc, low, first_at, last_at, text): each window of the minima ``lows``, a written table, with its text.
 
     If the minima are few enough to be broadcast, a document's windows are cut out of its text and filtered where they are
     found. Else the windows are filtered by a shuffle first, and texts join what is left of their windows.
     """
-    cut = F.expr(f"transform(windows, w -> struct(w.low as low, w.first_at as first_at, w.last_at as last_at, substring(text, w.first_at + 1, w.last_at - w.first_at + {length}) as text))")
     if lows.count() * 8 <= BROADCAST_BYTES:
-        return with_windows(docs, length, gram).select("doc", F.inline(cut)).join(F.broadcast(lows), "low")
+        return _cut_out(docs, length, gram).join(F.broadcast(lows), "low")
     met = with_windows(docs, length, gram, keep_text=False).select("doc", F.inline("windows")).join(lows, "low")
     lists = met.groupBy("doc").agg(F.collect_list(F.struct("low", "first_at", "last_at")).alias("windows"))
-    return docs.join(lists, "doc").select("doc", F.inline(cut))
+    return _cut_out(docs.join(lists, "doc").select("doc", "text", "windows"), length, gram)
 
 
 def shared_spans(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
