@@ -66,15 +66,3 @@ def junctions(exons: Column) -> Column:
     """array<struct<donor, acceptor>> between neighbouring exons; empty for a single exon."""
     n = F.greatest(F.size(exons) - 1, F.lit(0))
     return F.zip_with(F.slice(exons, F.lit(1), n), F.slice(exons, F.lit(2), n), lambda a, b: F.struct(a["end"].alias("donor"), b["start"].alias("acceptor")))
-
-
-def junctions_close(a: Column, b: Column, tol: int) -> Column:
-    """Whether two junction lists are as long and nowhere further apart than ``tol``."""
-    near = F.zip_with(a, b, lambda x, y: (F.abs(x["donor"] - y["donor"]) <= tol) & (F.abs(x["acceptor"] - y["acceptor"]) <= tol))
-    return (F.size(a) == F.size(b)) & F.forall(near, lambda x: F.coalesce(x, F.lit(False)))
-
-
-def structures_match(a: Column, b: Column, end_tol: int, junction_tol: int) -> Column:
-    """Whether two exon structures of one chromosome, strand and exon count match; both ends have the same tolerance."""
-    ends = (F.abs(first_start(a) - first_start(b)) <= end_tol) & (F.abs(last_end(a) - last_end(b)) <= end_tol)
-    return ends & junctions_close(junctions(a), junctions(b), junction_tol)

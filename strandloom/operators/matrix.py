@@ -25,9 +25,10 @@ def numbered(df: DataFrame, *order: str | Column, name: str = "idx") -> DataFram
     return table.join(if_small(offsets), "part_no").withColumn(name, F.col("part_from") + F.col("part_at")).drop("part_no", "part_at", "part_from")
 
 
-def unique_cells(bus: DataFrame, sep: str = "_") -> DataFrame:
+def unique_cells(bus: DataFrame, sep: str = "_", append_sample: bool = True) -> DataFrame:
     """(cell) of the unique BUs."""
-    return representatives(bus).where(F.col("barcode").isNotNull()).select(cell_name(F.col("barcode"), F.col("sample_id"), sep).alias("cell")).distinct()
+    cell = cell_name(F.col("barcode"), F.col("sample_id") if append_sample else None, sep)
+    return representatives(bus).where(F.col("barcode").isNotNull()).select(cell.alias("cell")).distinct()
 
 
 def shared_cells(*parts: DataFrame) -> DataFrame:

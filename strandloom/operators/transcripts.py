@@ -14,10 +14,11 @@ def reads_once(reads: DataFrame) -> DataFrame:
     return reads.groupBy("read_id").agg(F.count("*").alias("n")).where("n = 1").select("read_id")
 
 
-def representative_cells(bus: DataFrame, sheet: DataFrame, sep: str = "_") -> DataFrame:
+def representative_cells(bus: DataFrame, sheet: DataFrame, sep: str = "_", append_sample: bool = True) -> DataFrame:
     """(read_id, cell) of representatives; a read of several samples takes the last of the sheet, there the last BU."""
     rows = representatives(bus).where(F.col("barcode").isNotNull()).join(sheet.select("sample_id", "sample_idx"), "sample_id")
-    last = F.max(F.struct("sample_idx", "first_ord", cell_name(F.col("barcode"), F.col("sample_id"), sep).alias("cell")))
+    cell = cell_name(F.col("barcode"), F.col("sample_id") if append_sample else None, sep)
+    last = F.max(F.struct("sample_idx", "first_ord", cell.alias("cell")))
     return rows.groupBy("read_id").agg(last.alias("last")).select("read_id", "last.cell")
 
 

@@ -45,19 +45,21 @@ def _save(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
-def _cell_axis(spark: SparkSession, path: str, bus: DataFrame, sep: str) -> DataFrame:
+def _cell_axis(spark: SparkSession, path: str, bus: DataFrame, sep: str, append_sample: bool) -> DataFrame:
     """(cell, idx) of the cell file in its order; where it is missing or has no cell, the cells of the BUs in name order."""
     if text.exists(spark, path):
         axis = matrix.numbered(text.cell_list(spark, path), "ord").select("cell", "idx")
         if not axis.isEmpty():
             return axis
-    return matrix.numbered(matrix.unique_cells(bus, sep), "cell")
+    return matrix.numbered(matrix.unique_cells(bus, sep, append_sample), "cell")
 
 
-def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str] = (), names: Names = Names(), sep: str = "_", min_reads: int = ann.MIN_READS, min_samples: int = ann.MIN_SAMPLES, end_tol: int = ann.END_TOL, junction_tol: int = ann.JUNCTION_TOL) -> dict[str, DataFrame]:
+def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str] = (), names: Names = Names(), sep: str = "_", append_sample: bool = True, nonzero: bool = False, min_reads: int = ann.MIN_READS, min_samples: int = ann.MIN_SAMPLES, end_tol: int = ann.END_TOL, junction_tol: int = ann.JUNCTION_TOL) -> dict[str, DataFrame]:
     """Runs the steps that aren't in ``skip`` and writes their files; gives their tables by name.
 
-    The sample sheet is read once, each sample's paths come from it; a sample sheet with a repeated id is refused.
+    The sample sheet is read once, each sample's paths come from it; a sample sheet with a repeated id is refused. Cells are
+    named by sample and barcode with ``sep`` between, or without ``append_sample`` by the barcode alone. ``nonzero``: the
+    transcript counts are also written as a table of their non-zeros.
     """
     project = project.rstrip("/")
     sheet = written(samples.resolve_dirs(samples.check_unique(text.sample_sheet(spark, sheet_path)), project), "sheet")
@@ -71,24 +73,24 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
     if "bu" not in skip:
         lengths = written(molecules.read_lengths(reads, align), "lengths")
         out["bus"] = bus = written(molecules.bu_table(lengths), "bus")
-        for r in rows:
-            files.write_read_lengths(lengths.where(F.col("sample_id") == r["sample_id"]), at(names.lengths)[r["sample_id"]])
-            files.write_bu_csv(bus.where(F.col("sample_id") == r["sample_id"]), at(names.bu)[r["sample_id"]])
+        files.write_read_lengths(lengths, at(names.lengths))
+        files.write_bu_csv(bus, at(names.bu))
     else:
         out["bus"] = bus = written(text.bu_csv(spark, at(names.bu)), "bus")
     matrices = f"{project}/{names.matrices}"
     if "genes" not in skip:
-        counts = written(genes.gene_matrix(text.read_assignments(text.sample_lines(spark, at(names.assignments))), sep), "genes")
-        cells = matrix.shared_cells(counts, matrix.unique_cells(bus, sep))
+        counts = written(genes.gene_matrix(text.read_assignments(text.sample_lines(spark, at(names.assignments))), sep, append_sample), "genes")
+        cells = matrix.shared_cells(counts, matrix.unique_cells(bus, sep, append_sample))
         row_axis, cell_axis = files.axes(counts, cells, "gene_id")
         files.write_matrix_market(counts, row_axis, cell_axis, "gene_id", f"{matrices}/gene_matrix")
         files.write_axis(cell_axis, "cell", f"{matrices}/shared_barcodes.txt")
         files.write_matrix_csv(counts, row_axis, cell_axis, "gene_id", f"{matrices}/gene_matrix.csv.gz", "gene_id")
         out |= {"genes": counts, "cells": cell_axis}
     if "filter" not in skip:
-        kept = aln.filtered(align, aln.valid_reads(reads))
+        kept = written(aln.filtered(align, aln.valid_reads(reads)), "filtered")
+        filtered = files.write_filtered(kept, f"{project}/{names.merged}/filtered", list(beside(names.alignments)))
         out["alignments"] = _save(aln.merged(kept), f"{project}/{names.merged}/all_samples_merged.parquet")
-        files.write_filter_stats(aln.filter_stats(align, reads, kept, sheet), f"{project}/{names.merged}", f"{project}/{names.merged}/filtering_statistics.tsv")
+        files.write_filter_stats(aln.filter_stats(align, reads, kept, sheet), filtered, f"{project}/{names.merged}/filtering_statistics.tsv")
     gtf = f"{project}/{names.consensus}/consensus.gtf"
     if "collapse" not in skip:
         records = written(ann.gtf_records(text.sample_lines(spark, at(names.annotation))), "records")
@@ -106,11 +108,13 @@ def run(spark: SparkSession, sheet_path: str, project: str, skip: Collection[str
         files.write_features(table, relations, f"{project}/{names.consensus}/database")
     if "transcripts" not in skip:
         second = text.transcript_reads(spark, {"merged": f"{project}/{names.second_reads}"})
-        counted = written(transcripts.counted_reads(second, transcripts.representative_cells(bus, sheet, sep)), "counted")
-        cells = out["cells"] if "cells" in out else _cell_axis(spark, f"{matrices}/shared_barcodes.txt", bus, sep)
+        counted = written(transcripts.counted_reads(second, transcripts.representative_cells(bus, sheet, sep, append_sample)), "counted")
+        cells = out["cells"] if "cells" in out else _cell_axis(spark, f"{matrices}/shared_barcodes.txt", bus, sep, append_sample)
         out["transcripts"] = counts = written(matrix.reindexed(transcripts.transcript_matrix(counted), cells), "transcripts")
         row_axis = matrix.numbered(transcripts.row_order(counted), "first_ord").select("transcript_id", "idx")
         files.write_matrix_market(counts, row_axis, cells, "transcript_id", f"{matrices}/transcript_matrix")
         files.write_csr(counts, row_axis, cells, "transcript_id", f"{matrices}/transcript_matrix_csr")
         files.write_matrix_csv(counts, row_axis, cells, "transcript_id", f"{matrices}/transcript_matrix.csv.gz")
+        if nonzero:
+            files.write_nonzero(counts, row_axis, cells, f"{matrices}/nonzero.tsv.gz")
     return out

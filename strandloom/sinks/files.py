@@ -1,24 +1,39 @@
 """Writers of the output formats.
 
-Tables are written by Spark as ordered part files. Formats that are one file by nature are then streamed together part
-by part; no table is held on the driver.
+Tables are written by Spark's tasks as ordered part files. An output of at most ONE_FILE_BYTES is then made one file; a
+larger one stays a folder of that name with its part files, which read in order of their names are that file.
 """
 
 from __future__ import annotations
 
+import gzip
 import io
-import math
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.operators.matrix import dense_rows, numbered, triplets
-from strandloom.shared import shared_path
+from strandloom.shared import if_small
+
+#: Bytes of part files that are copied into one file; what is larger stays as its tasks wrote it.
+ONE_FILE_BYTES = 64 << 20
+#: Non-zeros of one file of compressed sparse rows, and the rest of its last row.
+CSR_NONZEROS = 1 << 24
+
+# The columns and head lines of the formats.
+BU_COLUMNS = ("bu", "barcode", "umi", "read_id", "transcript_id", "read_length", "status")
+LENGTH_COLUMNS = ("read_id", "transcript_id", "read_length")
+STATISTICS_COLUMNS = ("sample_id", "valid_read_ids", "reads_in_bam", "reads_written", "output_bam")
+MANIFEST_COLUMNS = ("sample_id", "fastq_path", "workdir", "sample_dir", "out_dir")
+NONZERO_COLUMNS = ("transcript_id", "sampleid_barcode", "count")
+GTF_HEAD = "# Consensus transcript annotation\n"
+MATRIX_HEAD = "%%MatrixMarket matrix coordinate integer general\n%\n"
 
 GTF_ORDER = ("chrom", "strand", "start", "end", "transcript_id", "level", "exon_number")
 
@@ -29,18 +44,27 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _together(spark: SparkSession, folder: str, path: str, head: str = "", gzip: bool = False) -> None:
-    """The part files of ``folder``, in order of their names, streamed into one file after ``head``; the folder goes."""
+def _settle(spark: SparkSession, folder: str, path: str, head: str = "") -> None:
+    """Moves the part files of ``folder`` (there are none if it is missing) to ``path``, after ``head``: as one file or as a folder."""
     jvm, source, system = _hadoop(spark, folder)
-    _, target, target_system = _hadoop(spark, path)
-    out = target_system.create(target, True)
-    if gzip:
-        out = jvm.java.util.zip.GZIPOutputStream(out)
-    try:
+    new = jvm.org.apache.hadoop.fs.Path
+    target = new(path)
+    parts = sorted((s for s in system.listStatus(source) if s.getPath().getName().startswith("part-")), key=lambda s: s.getPath().getName()) if system.exists(source) else []
+    start = gzip.compress(head.encode()) if path.endswith(".gz") else head.encode()
+    system.delete(target, True)
+    if sum(s.getLen() for s in parts) > ONE_FILE_BYTES:
+        system.rename(source, target)
         if head:
-            out.write(head.encode())
-        for part in sorted(str(s.getPath().toString()) for s in system.listStatus(source) if s.getPath().getName().startswith("part-")):
-            stream = system.open(jvm.org.apache.hadoop.fs.Path(part))
+            with_head = system.create(new(target, "part--head" + (".txt.gz" if path.endswith(".gz") else ".txt")), True)  # sorts before part-0
+            with_head.write(start)
+            with_head.close()
+        return
+    out = system.create(target, True)
+    try:
+        if head or not parts:
+            out.write(start)
+        for part in parts:
+            stream = system.open(part.getPath())
             try:
                 jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
             finally:
@@ -50,19 +74,48 @@ def _together(spark: SparkSession, folder: str, path: str, head: str = "", gzip:
     system.delete(source, True)
 
 
+def _text(df: DataFrame, path: str, end: str, *by: str) -> str:
+    """Writes the lines beside ``path``, compressed as it says; gives the folder."""
+    folder = f"{path}-parts-{uuid.uuid4().hex}"
+    writer = df.write.option("lineSep", end).option("compression", "gzip" if path.endswith(".gz") else "none")
+    (writer.partitionBy(*by) if by else writer).text(folder)
+    return folder
+
+
 def write_lines(df: DataFrame, column: str, order: Sequence[str], path: str, head: str = "", end: str = "\n") -> None:
-    """One text file of ``column`` in the order of ``order``; gzipped if ``path`` says so; an empty table gives ``head`` alone."""
-    spark = df.sparkSession
-    parts = shared_path(spark, "lines")
-    df.orderBy(*order).select(F.col(column).cast("string")).write.option("lineSep", end).text(parts)
-    _together(spark, parts, path, head, path.endswith(".gz"))
+    """Text of ``column`` in the order of ``order``; gzipped if ``path`` says so; an empty table gives ``head`` alone."""
+    _settle(df.sparkSession, _text(df.orderBy(*order).select(F.col(column).cast("string")), path, end), path, head)
+
+
+def write_sample_lines(df: DataFrame, column: str, order: Sequence[str], paths: Mapping[str, str], head: str = "", end: str = "\n") -> None:
+    """``write_lines`` of the rows of each sample (by sample_id) to its path in ``paths``, all in one pass over ``df``."""
+    if not paths:
+        return
+    spark, samples = df.sparkSession, list(paths)
+    numbers = spark.createDataFrame(list(enumerate(samples)), "sample_no int, sample_id string")
+    rows = df.join(if_small(numbers), "sample_id").select("sample_no", *order, F.col(column).cast("string").alias("out_line"))
+    sorted_rows = rows.repartitionByRange("sample_no", *order).sortWithinPartitions("sample_no", *order).select("sample_no", "out_line")
+    folder = _text(sorted_rows, paths[samples[0]], end, "sample_no")
+    for i, sample in enumerate(samples):
+        _settle(spark, f"{folder}/sample_no={i}", paths[sample], head)
+    _, source, system = _hadoop(spark, folder)
+    system.delete(source, True)
 
 
-def write_table(df: DataFrame, order: Sequence[str], path: str, columns: Sequence[str], sep: str = ",", end: str = "\n", header: bool = True) -> None:
-    """One delimited file with a header; a field with the separator, a quote or a line end is quoted; null is empty."""
+def _line(columns: Sequence[str], sep: str) -> Column:
+    """The delimited line of ``columns``; a field with the separator, a quote or a line end is quoted; null is empty."""
     quoted = lambda c: F.when(c.rlike(f'[{sep}"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
-    line = F.concat_ws(sep, *(F.coalesce(quoted(F.col(c).cast("string")), F.lit("")) for c in columns))
-    write_lines(df.withColumn("out_line", line), "out_line", order, path, sep.join(columns) + end if header else "", end)
+    return F.concat_ws(sep, *(F.coalesce(quoted(F.col(c).cast("string")), F.lit("")) for c in columns))
+
+
+def write_table(df: DataFrame, order: Sequence[str], path: str, columns: Sequence[str], sep: str = ",", end: str = "\n") -> None:
+    """Delimited ``columns`` after a header."""
+    write_lines(df.withColumn("out_line", _line(columns, sep)), "out_line", order, path, sep.join(columns) + end, end)
+
+
+def write_sample_tables(df: DataFrame, order: Sequence[str], paths: Mapping[str, str], columns: Sequence[str], sep: str = ",") -> None:
+    """``write_table`` of the rows of each sample to its path in ``paths``."""
+    write_sample_lines(df.withColumn("out_line", _line(columns, sep)), "out_line", order, paths, sep.join(columns) + "\n")
 
 
 def write_axis(axis: DataFrame, name: str, path: str) -> None:
@@ -74,7 +127,7 @@ def write_matrix_market(matrix: DataFrame, rows: DataFrame, cells: DataFrame, ro
     """``prefix``.mtx (coordinates, integer, general) with ``prefix``_rows.txt and ``prefix``_cols.txt."""
     at = triplets(matrix, rows, cells, row)
     size = at.agg(F.count("*")).first()[0]
-    head = f"%%MatrixMarket matrix coordinate integer general\n%\n{rows.count()} {cells.count()} {size}\n"
+    head = f"{MATRIX_HEAD}{rows.count()} {cells.count()} {size}\n"
     write_lines(at.withColumn("line", F.concat_ws(" ", "row_idx", "col_idx", "n")), "line", ["row_idx", "col_idx"], f"{prefix}.mtx", head)
     write_axis(rows, row, f"{prefix}_rows.txt")
     write_axis(cells, "cell", f"{prefix}_cols.txt")
@@ -90,55 +143,82 @@ def write_matrix_csv(matrix: DataFrame, rows: DataFrame, cells: DataFrame, row:
     write_lines(head.unionByName(full.withColumn("idx", (F.col("idx") + 1).cast("int"))), "line", ["idx"], path)
 
 
-def write_csr(matrix: DataFrame, rows: DataFrame, cells: DataFrame, row: str, folder: str, rows_per_file: int = 1 << 16) -> int:
-    """The matrix as compressed sparse rows: ``folder``/matrix-<k>.npz holds rows k * rows_per_file and on; gives the number of files.
+def write_csr(matrix: DataFrame, rows: DataFrame, cells: DataFrame, row: str, folder: str, nonzeros: int = CSR_NONZEROS) -> int:
+    """The matrix as compressed sparse rows: ``folder``/matrix-<k>.npz hold its rows in order, transcripts.txt and barcodes.txt the
+    axes; gives the number of files.
 
-    Each file is a valid .npz (indices, indptr, format, shape, data), written by a task; stacked in order they are the matrix.
+    Each file is a valid .npz (indices, indptr, format, shape, data), written by a task; stacked in order they are the
+    matrix. A file ends with the row that takes it beyond ``nonzeros``, so a task holds that many and one row.
     """
     n_rows, n_cells = rows.count(), cells.count()
-    files = max(1, math.ceil(n_rows / rows_per_file))
     at = triplets(matrix, rows, cells, row).select((F.col("row_idx") - 1).alias("r"), (F.col("col_idx") - 1).alias("c"), F.col("n").cast("int").alias("n"))
-    placed = at.withColumn("file_no", F.floor(F.col("r") / rows_per_file).cast("int")).repartitionById(files, "file_no").sortWithinPartitions("r", "c")
+    # A row belongs to the file in which its first non-zero falls; a number for each file comes to the driver.
+    slots = numbered(at, "r", "c", name="k").groupBy("r").agg(F.floor(F.min("k") / nonzeros).alias("slot"))
+    begins = [(r["slot"], r["r"]) for r in slots.groupBy("slot").agg(F.min("r").alias("r")).orderBy("slot").collect()] or [(0, 0)]
+    edges = [0, *(r for _, r in begins[1:]), n_rows]
+    numbers = matrix.sparkSession.createDataFrame([(slot, k) for k, (slot, _) in enumerate(begins)], "slot bigint, file_no int")
+    every = numbers.select("file_no", F.lit(-1).cast("bigint").alias("r"), F.lit(-1).cast("bigint").alias("c"), F.lit(0).alias("n"))  # also a file without a count
+    held_at = at.join(slots, "r").join(if_small(numbers), "slot").select("file_no", "r", "c", "n").unionByName(every)
+    placed = held_at.repartitionById(len(begins), "file_no").sortWithinPartitions("r", "c")
     system, inner = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
     system.create_dir(inner, recursive=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = TaskContext.get().partitionId()
-        held = pd.concat([pd.DataFrame({"r": [], "c": [], "n": []}, dtype=np.int64), *batches])
-        height = min(rows_per_file, n_rows - k * rows_per_file)
-        counts = np.bincount(held["r"].to_numpy(np.int64) - k * rows_per_file, minlength=height)
+        held = pd.concat(list(batches)).query("r >= 0")
+        height = edges[k + 1] - edges[k]
+        counts = np.bincount(held["r"].to_numpy(np.int64) - edges[k], minlength=height)
         out = io.BytesIO()
         np.savez_compressed(out, indices=held["c"].to_numpy(np.int32), indptr=np.r_[0, np.cumsum(counts)].astype(np.int32), format=np.array(b"csr"), shape=np.array([height, n_cells]), data=held["n"].to_numpy(np.int32))
         with fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")[0].open_output_stream(f"{inner}/matrix-{k:05d}.npz") as f:
             f.write(out.getvalue())
         yield pd.DataFrame({"file_no": [k]})
 
+    write_axis(rows, row, f"{folder}/transcripts.txt")
+    write_axis(cells, "cell", f"{folder}/barcodes.txt")
     return placed.mapInPandas(run, "file_no int").count()
 
 
-def write_nonzero(matrix: DataFrame, path: str) -> None:
-    """transcript_id, sampleid_barcode, count: the long form, as compressed tab-separated part files."""
-    matrix.select("transcript_id", F.col("cell").alias("sampleid_barcode"), F.col("n").cast("int").alias("count")).write.csv(path, sep="\t", header=True, compression="gzip")
+def write_nonzero(matrix: DataFrame, rows: DataFrame, cells: DataFrame, path: str) -> None:
+    """The non-zero counts with the names of their transcripts and cells, row by row."""
+    placed = matrix.join(rows.select("transcript_id", F.col("idx").alias("row_idx")), "transcript_id").join(cells.select("cell", F.col("idx").alias("col_idx")), "cell")
+    named = placed.select("row_idx", "col_idx", "transcript_id", F.col("cell").alias("sampleid_barcode"), F.col("n").cast("int").alias("count"))
+    write_table(named, ["row_idx", "col_idx"], path, NONZERO_COLUMNS, sep="\t", end="\r\n")
 
 
-def write_bu_csv(bus: DataFrame, path: str) -> None:
-    """The BU table in order of first appearance; the length of an ambiguous BU reads ``ambiguous``."""
+def write_bu_csv(bus: DataFrame, paths: Mapping[str, str]) -> None:
+    """Each sample's BU table in order of first appearance; the length of an ambiguous BU reads ``ambiguous``."""
     out = bus.withColumn("read_length", F.coalesce(F.col("read_length").cast("string"), F.lit("ambiguous")))
-    write_table(out, ["first_ord"], path, ["bu", "barcode", "umi", "read_id", "transcript_id", "read_length", "status"])
+    write_sample_tables(out, ["first_ord"], paths, BU_COLUMNS)
+
+
+def write_read_lengths(lengths: DataFrame, paths: Mapping[str, str]) -> None:
+    write_sample_tables(lengths, ["ord"], paths, LENGTH_COLUMNS, sep="\t")
 
 
-def write_read_lengths(lengths: DataFrame, path: str) -> None:
-    write_table(lengths, ["ord"], path, ["read_id", "transcript_id", "read_length"], sep="\t")
+def write_filtered(alignments: DataFrame, folder: str, samples: Sequence[str]) -> dict[str, str]:
+    """Each sample's filtered alignments as a folder of Parquet files, in one pass; gives the folders by sample."""
+    spark = alignments.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(samples)), "sample_no int, sample_id string")
+    alignments.join(if_small(numbers), "sample_id").repartitionByRange("sample_no", "ord").write.mode("overwrite").partitionBy("sample_no").parquet(folder)
+    jvm, _, system = _hadoop(spark, folder)
+    out = {}
+    for i, sample in enumerate(samples):
+        source, out[sample] = jvm.org.apache.hadoop.fs.Path(f"{folder}/sample_no={i}"), f"{folder}/{sample}_filtered.parquet"
+        target = jvm.org.apache.hadoop.fs.Path(out[sample])
+        system.rename(source, target) if system.exists(source) else system.mkdirs(target)
+    return out
 
 
-def write_filter_stats(stats: DataFrame, folder: str, path: str) -> None:
-    out = stats.withColumn("output_bam", F.concat(F.lit(folder.rstrip("/") + "/"), "sample_id", F.lit("_filtered.bam")))
-    write_table(out, ["sample_id"], path, ["sample_id", "valid_read_ids", "reads_in_bam", "reads_written", "output_bam"], sep="\t", end="\r\n")
+def write_filter_stats(stats: DataFrame, filtered: Mapping[str, str], path: str) -> None:
+    """Counts of each sample, with the place of its filtered alignments in the last column."""
+    places = stats.sparkSession.createDataFrame(list(filtered.items()), "sample_id string, output_bam string")
+    write_table(stats.join(if_small(places), "sample_id"), ["sample_id"], path, STATISTICS_COLUMNS, sep="\t", end="\r\n")
 
 
 def write_manifest(sheet: DataFrame, path: str) -> None:
     """The resolved sample sheet; further columns are left out."""
-    write_table(sheet, ["sample_idx"], path, ["sample_id", "fastq_path", "workdir", "sample_dir", "out_dir"], sep="\t", end="\r\n")
+    write_table(sheet, ["sample_idx"], path, MANIFEST_COLUMNS, sep="\t", end="\r\n")
 
 
 def write_statistics(stats: DataFrame, path: str) -> None:
@@ -150,13 +230,13 @@ def write_statistics(stats: DataFrame, path: str) -> None:
 
 
 def write_gtf(lines: DataFrame, path: str) -> None:
-    write_lines(lines, "line", GTF_ORDER, path, "# Consensus transcript annotation\n")
+    write_lines(lines, "line", GTF_ORDER, path, GTF_HEAD)
 
 
 def write_features(features: DataFrame, relations: DataFrame, folder: str) -> None:
     """Parquet tables for lookups: features by type, sorted by place, and relations by parent; statistics serve as index."""
-    features.repartitionByRange("featuretype", "seqid", "start").sortWithinPartitions("featuretype", "seqid", "start").write.partitionBy("featuretype").parquet(f"{folder}/features")
-    relations.repartitionByRange("parent").sortWithinPartitions("parent", "child").write.parquet(f"{folder}/relations")
+    features.repartitionByRange("featuretype", "seqid", "start").sortWithinPartitions("featuretype", "seqid", "start").write.mode("overwrite").partitionBy("featuretype").parquet(f"{folder}/features")
+    relations.repartitionByRange("parent").sortWithinPartitions("parent", "child").write.mode("overwrite").parquet(f"{folder}/relations")
 
 
 def axes(matrix: DataFrame, cells: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:

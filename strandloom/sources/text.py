@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 
 from strandloom.functions.gtf import SPACE, trimmed
 from strandloom.operators.samples import check_sheet, clean_sheet
+from strandloom.shared import if_small
 
 # Fixed value: the mandatory fields of an alignment line.
 SAM_FIELDS = ("query_name", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(ord bigint, line string) of a text file; lines end at a line feed."""
-    rows = spark.read.option("lineSep", "\n").text(path)
+def lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(file, ord bigint, line string) of text files; lines end at a line feed. ``ord`` rises within a file."""
+    rows = spark.read.option("lineSep", "\n").text(list(paths))
     # Blocks of a file are read in any order; the offset of a row's block, then its place in the partition.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.select(F.struct(F.col("_metadata.file_block_start").alias("block"), place.alias("at")).alias("o"), F.col("value").alias("line")).select((F.shiftleft(F.col("o.block").cast("bigint"), 20) + F.col("o.at")).alias("ord"), "line")
+    placed = rows.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), place.alias("at")).alias("o"), F.col("value").alias("line"))
+    return placed.select("file", (F.shiftleft(F.col("o.block").cast("bigint"), 20) + F.col("o.at")).alias("ord"), "line")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,13 +33,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _of_samples(rows: DataFrame, paths: Mapping[str, str]) -> DataFrame:
+    """``rows`` of one read over the files of ``paths``, with the hidden file path in column file: sample_id instead.
+
+    A path may be a folder of part files; a file that is two samples' is read once and gives both its rows.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    files = []
+    for sample, path in paths.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files += [(s.getPath().toString(), sample) for s in system.listStatus(p)]
+    return rows.join(if_small(spark.createDataFrame(files, "file string, sample_id string")), "file").drop("file")
+
+
 def sample_lines(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """(sample_id, ord, line) of each sample's file."""
-    parts = [lines(spark, p).select(F.lit(s).alias("sample_id"), "ord", "line") for s, p in paths.items()]
-    out = parts[0] if parts else spark.createDataFrame([], "sample_id string, ord bigint, line string")
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(sample_id, ord, line) of each sample's file, in one read over all of them."""
+    if not paths:
+        return spark.createDataFrame([], "sample_id string, ord bigint, line string")
+    return _of_samples(lines(spark, *dict.fromkeys(paths.values())), paths).select("sample_id", "ord", "line")
 
 
 def _content(df: DataFrame) -> DataFrame:
@@ -61,15 +76,10 @@ def read_assignments(raw: DataFrame) -> DataFrame:
 
 def transcript_reads(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """(sample_id, ord, read_id, transcript_id) of tab-separated files with quoting; a missing second field is null."""
-    parts = []
-    for sample, path in paths.items():
-        rows = spark.read.csv(path, sep="\t", quote='"', escape='"', multiLine=True, schema="read_id string, transcript_id string", mode="PERMISSIVE", nullValue="\0", emptyValue="")
-        rows = rows.withColumn("ord", F.monotonically_increasing_id()).where(F.col("read_id").isNotNull() & ~F.col("read_id").startswith("#"))
-        parts.append(rows.select(F.lit(sample).alias("sample_id"), "ord", "read_id", "transcript_id"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = spark.read.csv(list(dict.fromkeys(paths.values())), sep="\t", quote='"', escape='"', multiLine=True, schema="read_id string, transcript_id string", mode="PERMISSIVE", nullValue="\0", emptyValue="")
+    rows = rows.select("read_id", "transcript_id", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"))
+    rows = rows.where(F.col("read_id").isNotNull() & ~F.col("read_id").startswith("#"))
+    return _of_samples(rows, paths).select("sample_id", "ord", "read_id", "transcript_id")
 
 
 def alignments(raw: DataFrame) -> DataFrame:
@@ -82,12 +92,16 @@ def alignments(raw: DataFrame) -> DataFrame:
 
 
 def bu_csv(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """BU tables as written, all strings, with sample_id and first_ord."""
-    out = None
-    for sample, path in paths.items():
-        rows = spark.read.csv(path, header=True, quote='"', escape='"', inferSchema=False).withColumn("first_ord", F.monotonically_increasing_id()).withColumn("sample_id", F.lit(sample))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+    """BU tables as written, all strings, with sample_id and first_ord; a line that repeats the header is none of the rows.
+
+    The header tells the columns, the same for all samples; status may be missing.
+    """
+    every = list(dict.fromkeys(paths.values()))
+    head = spark.read.text(every[0]).where(F.col("value").startswith("bu,")).first()
+    names = (head["value"] if head else "bu").strip().split(",")
+    rows = spark.read.csv(every, quote='"', escape='"', schema=", ".join(f"`{n}` string" for n in names))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("first_ord"))
+    return _of_samples(rows.where(~F.col(names[0]).eqNullSafe(names[0])), paths)
 
 
 def passing_transcripts(raw: DataFrame, min_reads: int) -> DataFrame:

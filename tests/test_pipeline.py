@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from strandloom.plans import pipeline
+from strandloom.sinks import files
 from strandloom.sources import text
 
 BC = ["ACGTACGTACGTACGT", "TTTTACGTACGTACGT"]
@@ -147,3 +148,64 @@ def test_cells_without_a_cell_file(spark, project, content):
     cells = [f"{s}_{b}" for s, b in (("s1", BC[0]), ("s2", BC[0]))]
     assert read(m / "transcript_matrix_cols.txt").split() == cells
     assert read(m / "transcript_matrix.csv.gz").splitlines() == ["," + ",".join(cells), "tCOLL_000001,1,1", "ENST1,0,1"]
+
+
+def test_filtered_alignments_of_each_sample(spark, project):
+    """The statistics name what is there: each sample's alignments of valid reads, and an empty folder for a sample without any."""
+    put(project / "per_sample/s2/OUT/OUT.transcript_model_reads.tsv.gz", "# c\n")
+    pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["genes", "collapse", "database", "transcripts"])
+    stats = {r["sample_id"]: r for r in csv.DictReader(read(project / "multisample/merged/filtering_statistics.tsv").splitlines(), delimiter="\t")}
+    assert (stats["s1"]["reads_written"], stats["s2"]["reads_written"]) == ("3", "0")
+    rows = spark.read.parquet(stats["s1"]["output_bam"]).collect()
+    assert sorted(r["pos"] for r in rows) == [1, 5, 7] and {r["sample_id"] for r in rows} == {"s1"}
+    assert stats["s2"]["output_bam"].endswith("s2_filtered.parquet") and list((project / "multisample/merged/filtered/s2_filtered.parquet").iterdir()) == []
+
+
+def test_nonzero_table_and_axes(spark, project):
+    pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["filter", "collapse", "database"], nonzero=True)
+    m = project / "multisample/matrices"
+    cell = lambda s: f"{s}_{BC[0]}"
+    assert read(m / "nonzero.tsv.gz").splitlines() == ["transcript_id\tsampleid_barcode\tcount", f"tCOLL_000001\t{cell('s1')}\t1", f"tCOLL_000001\t{cell('s2')}\t1", f"ENST1\t{cell('s2')}\t1"]
+    assert read(m / "transcript_matrix_csr/transcripts.txt").split() == ["tCOLL_000001", "ENST1"]
+    assert read(m / "transcript_matrix_csr/barcodes.txt") == read(m / "shared_barcodes.txt")
+    out = pipeline.run(spark, str(project / "samples.tsv"), str(project), skip=["filter", "collapse", "database"], append_sample=False)
+    assert {r["cell"] for r in out["cells"].collect()} == set(BC) and {r["cell"] for r in out["transcripts"].collect()} == {BC[0]}
+
+
+def test_large_outputs_stay_part_files(spark, project, monkeypatch):
+    """Outputs above the bound are folders whose files, one after another, are the file; later steps read them."""
+    sheet = str(project / "samples.tsv")
+    names = ["multisample/matrices/gene_matrix.mtx", "multisample/matrices/gene_matrix.csv.gz", "multisample/consensus/consensus.gtf", "per_sample/s1/OUT/s1_bu.csv", "per_sample/s2/OUT/OUT.transcript_model_reads_with_length.tsv.gz"]
+    pipeline.run(spark, sheet, str(project))
+    texts = {n: read(project / n) for n in names}
+    counts = read(project / "multisample/matrices/transcript_matrix.csv.gz")
+    monkeypatch.setattr(files, "ONE_FILE_BYTES", 0)
+    out = pipeline.run(spark, sheet, str(project))
+    for n in names:
+        parts = sorted(p for p in (project / n).iterdir() if p.name.startswith("part-"))
+        assert "".join(gzip.decompress(p.read_bytes()).decode() if n.endswith(".gz") else p.read_text() for p in parts) == texts[n]
+    assert not list(project.rglob("*-parts-*"))
+    monkeypatch.undo()
+    again = pipeline.run(spark, sheet, str(project), skip=["bu", "genes", "filter", "collapse"])
+    assert again["bus"].count() == out["bus"].count() and again["features"].count() == out["features"].count()
+    assert read(project / "multisample/matrices/transcript_matrix.csv.gz") == counts
+
+
+def test_sparse_rows_over_several_files(spark, tmp_path):
+    """Files end with the row that fills them; empty rows belong to the file before; stacked they are the matrix."""
+    held = {(r, c): r * 10 + c + 1 for r in (1, 2, 5, 6, 9) for c in range(0, 7, r % 3 + 1)}
+    m = spark.createDataFrame([(f"t{r}", f"c{c}", n) for (r, c), n in held.items()], "transcript_id string, cell string, n bigint").repartition(3)
+    rows = spark.createDataFrame([(f"t{r}", r) for r in range(12)], "transcript_id string, idx bigint")
+    cells = spark.createDataFrame([(f"c{c}", c) for c in range(8)], "cell string, idx bigint")
+    for nonzeros, least in ((5, 3), (1 << 20, 1)):
+        folder = tmp_path / f"csr{nonzeros}"
+        n = files.write_csr(m, rows, cells, "transcript_id", str(folder), nonzeros)
+        blocks = []
+        for k in range(n):
+            with np.load(folder / f"matrix-{k:05d}.npz") as z:
+                dense = np.zeros(z["shape"], int)
+                for r in range(len(dense)):
+                    dense[r, z["indices"][z["indptr"][r] : z["indptr"][r + 1]]] = z["data"][z["indptr"][r] : z["indptr"][r + 1]]
+                blocks.append(dense)
+        assert n >= least and {(int(r), int(c)): int(v) for (r, c), v in np.ndenumerate(np.vstack(blocks)) if v} == held and sum(map(len, blocks)) == 12
+    assert files.write_csr(m.limit(0), rows, cells, "transcript_id", str(tmp_path / "none")) == 1
