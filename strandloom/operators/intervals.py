@@ -7,28 +7,36 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandloom.shared import written
 
-#: Positions are cut into tiles of this width, so that no list holds more than TILE / 2 intervals.
+#: Positions are cut into tiles of this width at least, so that a list holds half as many intervals at most.
 TILE = 1 << 20
 FAN_IN = 16
 
 
 def union_of(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted disjoint intervals of each group; intervals that overlap or adjoin become one."""
+    """Sorted disjoint intervals of each group; intervals that overlap or adjoin become one.
+
+    Bounds are 64-bit numbers below the largest. Sorted lists laid end to end are runs, which numpy's stable sort merges
+    two by two in linear time.
+    """
     if not len(group):
         return group, start, end
-    order = np.lexsort((start, group))
-    group, start = group[order], start[order]
-    base = group.astype(np.int64) << 34
-    reach = np.maximum.accumulate(end[order].astype(np.int64) + base)
-    first = np.flatnonzero(np.r_[True, start[1:] + base[1:] > reach[:-1] + 1])
+    order = np.argsort(start, kind="stable")
+    order = order[np.argsort(group[order], kind="stable")]
+    group, start, end = group[order], start[order], end[order]
+    # The running maximum of each group's ends, found on their ranks, so that groups can be told apart by a summand.
+    values, rank = np.unique(end, return_inverse=True)
+    base = group.astype(np.int64) * len(values)
+    reach = values[np.maximum.accumulate(rank + base) - base]
+    opens = np.r_[True, (group[1:] != group[:-1]) | (start[1:] > reach[:-1] + 1)]
+    first = np.flatnonzero(opens)
     last = np.r_[first[1:], len(group)] - 1
-    return group[first], start[first], (reach[last] - base[first]).astype(start.dtype)
+    return group[first], start[first], reach[last]
 
 
 def _lists(groups: pd.DataFrame, gid: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
@@ -55,8 +63,8 @@ def partial_lists(df: DataFrame, keys: Sequence[str]) -> DataFrame:
                 gid, groups = _groups(pdf, keys)
                 yield _lists(groups, gid, pdf["pos_from"].to_numpy(), pdf["pos_to"].to_numpy())
 
-    ints = T.ArrayType(T.IntegerType())
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("starts", ints), T.StructField("ends", ints)])
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("starts", longs), T.StructField("ends", longs)])
     return df.select(*keys, "pos_from", "pos_to").mapInPandas(run, schema)
 
 
@@ -97,8 +105,8 @@ def tile_lists(df: DataFrame, keys: Sequence[str], tile: int = TILE, fan_in: int
         "pos_to",
     ).select(
         *at,
-        F.greatest("pos_from", F.col("tile") * tile).cast("int").alias("pos_from"),
-        F.least("pos_to", (F.col("tile") + 1) * tile - 1).cast("int").alias("pos_to"),
+        F.greatest("pos_from", F.col("tile") * tile).alias("pos_from"),
+        F.least("pos_to", (F.col("tile") + 1) * tile - 1).alias("pos_to"),
     )
     lists = written(partial_lists(cut, at).withColumn("node", F.spark_partition_id()), "leaves")
     leaves = (lists.agg(F.max("node")).first()[0] or 0) + 1
@@ -109,18 +117,52 @@ def tile_lists(df: DataFrame, keys: Sequence[str], tile: int = TILE, fan_in: int
     return lists.drop("node")
 
 
-def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, tile: int = TILE, fan_in: int = FAN_IN) -> DataFrame:
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _positions(name: str, kind: T.DataType) -> Column:
+    """Whole numbers as they are, dates as days, timestamps as microseconds, those without a zone as on a clock of 24 hours each day."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"cast(cast(cast(`{name}` - {_EPOCH} as interval second) as decimal(24, 6)) * 1000000 as bigint)")
+    return F.col(name).cast("bigint")
+
+
+def _value(name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.col(name).cast("int"))
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"{_EPOCH} + `{name}` * interval '0.000001' second")
+    return F.col(name).cast(kind)
+
+
+def tile_width(rows: DataFrame) -> int:
+    """The power of two from TILE on that is at least the mean length of (pos_from, pos_to): cuts add two rows an interval at most, on average."""
+    mean = rows.agg(F.avg(F.col("pos_to").cast("double") - F.col("pos_from") + 1)).first()[0] or 1
+    return max(TILE, 1 << math.ceil(math.log2(max(1.0, mean))))
+
+
+def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, tile: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
     """(keys, kind, first_pos, last_pos): maximal covered runs (``period``) and the runs between them (``gap``).
 
-    Closed integer intervals. Rows with a null key, a null bound or start > end are ignored; an empty table
-    gives no rows; repeated rows and ties change nothing; other columns are dropped. A key's lists are bounded
-    by the tile width, and what is stitched over tiles has at most two rows a tile, so no task holds a whole key.
+    Closed intervals of whole numbers, dates (by days) or timestamps (by microseconds), in the type of ``start``. Rows with a null key, a null bound or
+    start > end are ignored; an empty table gives no rows; repeated rows and ties change nothing; other columns are dropped.
+    Positions are cut into tiles, by default as wide as ``tile_width`` says. A key's lists are bounded by the tile width,
+    and what is stitched over tiles has at most two rows a tile, so no task holds a whole key.
     """
     names = [f"key_{i}" for i in range(len(keys))]
     usable = F.lit(True)
     for k in keys:
         usable = usable & F.col(k).isNotNull()
-    rows = df.where(usable & (F.col(start) <= F.col(end))).select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(start).cast("int").alias("pos_from"), F.col(end).cast("int").alias("pos_to"))
+    kind = df.schema[start].dataType
+    at = lambda c, n: _positions(c, df.schema[c].dataType).alias(n)
+    rows = df.where(usable & (F.col(start) <= F.col(end))).select(*(F.col(k).alias(n) for k, n in zip(keys, names)), at(start, "pos_from"), at(end, "pos_to"))
+    tile = tile or tile_width(rows)
     tiles = written(tile_lists(rows, names, tile, fan_in), "tiles")
 
     pieces = tiles.select(*names, "tile", F.explode(F.arrays_zip("starts", "ends")).alias("p")).select(*names, "tile", F.col("p.starts").alias("s"), F.col("p.ends").alias("e"))
@@ -144,4 +186,4 @@ def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, t
         .select(*names, F.lit("gap").alias("kind"), (F.col("last") + 1).alias("s"), (F.col("next") - 1).alias("e"))
     )
     every = inner.unionByName(stitched).unionByName(inner_gaps).unionByName(across)
-    return every.select(*(F.col(n).alias(k) for k, n in zip(keys, names)), "kind", F.col("s").cast("int").alias("first_pos"), F.col("e").cast("int").alias("last_pos"))
+    return every.select(*(F.col(n).alias(k) for k, n in zip(keys, names)), "kind", _value("s", kind).alias("first_pos"), _value("e", kind).alias("last_pos"))

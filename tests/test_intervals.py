@@ -39,3 +39,31 @@ def test_ends_of_the_range_and_empty(spark):
     found = {tuple(r) for r in periods_and_gaps(df.withColumnRenamed("kind", "k"), ["k"], "s", "e").collect()}
     assert found == {("g", "period", -5, 4), ("g", "gap", 5, 2147483639), ("g", "period", 2147483640, 2147483647), ("h", "period", 1, 1)}
     assert periods_and_gaps(df.limit(0).withColumnRenamed("kind", "k"), ["k"], "s", "e").count() == 0
+
+
+def test_long_positions(spark):
+    """Positions beyond 32 bits, among them an interval over a third of a year in microseconds."""
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), "c", s := rng.randrange(-(10**15), 10**15), s + rng.choice([0, 10, 10**9, 10**13])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g string, c string, s bigint, e bigint").repartition(4)
+    assert {tuple(r) for r in periods_and_gaps(df, ["g", "c"], "s", "e").collect()} == brute(rows)
+
+
+def test_times_and_dates(spark):
+    """Timestamps adjoin by microseconds, dates by days; results have their type."""
+    rows = [("a", "2024-01-01 00:00:00", "2024-01-01 11:59:59.999999"), ("a", "2024-01-01 12:00:00", "2024-03-01 00:00:00"), ("a", "2025-01-01 00:00:00", "2025-01-01 00:00:00")]
+    text = spark.createDataFrame(rows, "k string, s string, e string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        summer = spark.sql("select 'a' k, timestamp_ntz'2024-03-10 01:00:00' s, timestamp_ntz'2024-03-10 02:30:00' e")
+        assert [str(r["last_pos"]) for r in periods_and_gaps(summer, ["k"], "s", "e").collect()] == ["2024-03-10 02:30:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    for kind in ("timestamp", "timestamp_ntz"):
+        found = periods_and_gaps(text.selectExpr("k", f"cast(s as {kind}) s", f"cast(e as {kind}) e"), ["k"], "s", "e")
+        assert dict(found.dtypes)["first_pos"] == kind
+        got = {tuple(r) for r in found.selectExpr("kind", "cast(first_pos as string)", "cast(last_pos as string)").collect()}
+        assert got == {("period", "2024-01-01 00:00:00", "2024-03-01 00:00:00"), ("gap", "2024-03-01 00:00:00.000001", "2024-12-31 23:59:59.999999"), ("period", "2025-01-01 00:00:00", "2025-01-01 00:00:00")}
+    days = periods_and_gaps(text.selectExpr("k", "cast(s as date) s", "cast(e as date) e"), ["k"], "s", "e")
+    assert {tuple(map(str, r)) for r in days.collect()} == {("a", "period", "2024-01-01", "2024-03-01"), ("a", "gap", "2024-03-02", "2024-12-31"), ("a", "period", "2025-01-01", "2025-01-01")}
