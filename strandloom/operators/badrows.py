@@ -100,7 +100,7 @@ def _checked_values(lines: DataFrame, layouts: Mapping[str, Layout]) -> DataFram
     """(line_id, check_id, v): each checked field of the lines of right structure."""
     cases = F.lit(None)
     for name, layout in layouts.items():
-        pairs = F.array(*(F.struct(F.lit(f"{name}/{c.field}").alias("check_id"), F.get("parsed.fields", F.lit(c.field)).alias("v")) for c in layout.checks))
+        pairs = F.array(*(F.struct(F.lit(f"{name}/{c.field}").alias("check_id"), F.get("fields", F.lit(c.field)).alias("v")) for c in layout.checks))
         cases = F.when(F.col("file_name") == name, pairs).otherwise(cases)
     return lines.select("line_id", F.inline(cases))
 
@@ -116,13 +116,13 @@ def invalid_values(values: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -
     return values.select("check_id", "v").distinct().where(~ok).select("check_id", "v", no.cast("int").alias("reason_no"))
 
 
-def failed_lines(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
-    """(line_id, reason): the failed lines, each with the first reason that applies.
+def structured(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
+    """(line_id, file_name, structure, fields): each line parsed once, in a written table; structure is the reason of a wrong one, or null."""
+    lines = parsed_lines(df, layouts).select("line_id", "file_name", _structure(layouts).alias("structure"), F.col("parsed.fields").alias("fields"))
+    return written(lines, "lines")
 
-    Null and blank lines and comments are neither valid nor failed; one carriage return at the end is not part of a
-    line; a file name without layout (or null) fails as ``columns``. Repeated lines fail each under its own line_id.
-    """
-    lines = parsed_lines(df, layouts).select("line_id", "file_name", "parsed", _structure(layouts).alias("structure"))
+
+def _failed(lines: DataFrame, layouts: Mapping[str, Layout]) -> DataFrame:
     values = _checked_values(lines.where(F.col("structure").isNull()), layouts)
     bad = if_small(written(invalid_values(values, layouts), "invalid"))
     by_value = values.join(bad, ["check_id", "v"]).groupBy("line_id").agg(F.min("reason_no").alias("reason_no"))
@@ -130,8 +130,17 @@ def failed_lines(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> Data
     return lines.where(F.col("structure").isNotNull()).select("line_id", F.col("structure").alias("reason")).unionByName(by_value.select("line_id", named.alias("reason")))
 
 
+def failed_lines(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
+    """(line_id, reason): the failed lines, each with the first reason that applies.
+
+    Null and blank lines and comments are neither valid nor failed; one carriage return at the end is not part of a
+    line; a file name without layout (or null) fails as ``columns``. Repeated lines fail each under its own line_id.
+    """
+    return _failed(structured(df, layouts), layouts)
+
+
 def valid_rows(df: DataFrame, file_name: str, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
     """(line_id, the columns of ``file_name``'s layout): its lines without a failure, fields unquoted."""
-    lines = parsed_lines(df.where(F.col("file_name") == file_name), layouts)
-    good = lines.where(_structure(layouts).isNull()).join(failed_lines(df.where(F.col("file_name") == file_name), layouts), "line_id", "left_anti")
-    return good.select("line_id", *(F.get("parsed.fields", F.lit(i)).alias(c) for i, c in enumerate(layouts[file_name].columns)))
+    lines = structured(df.where(F.col("file_name") == file_name), layouts)
+    good = lines.where(F.col("structure").isNull()).join(_failed(lines, layouts), "line_id", "left_anti")
+    return good.select("line_id", *(F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(layouts[file_name].columns)))
