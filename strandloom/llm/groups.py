@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strandloom.shared import written
@@ -20,28 +20,36 @@ def _edges(a: Column, b: Column, df: DataFrame) -> DataFrame:
     return df.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where(F.col("hi") > F.col("lo")).distinct()
 
 
+def _written_counting(df: DataFrame, label: str, condition: Column) -> tuple[DataFrame, int]:
+    """``df`` written, and the rows that meet ``condition``, counted by the tasks that write."""
+    seen = Observation()
+    return written(df.observe(seen, F.count_if(condition).alias("n")), label), seen.get["n"]
+
+
 def smallest_labels(edges: DataFrame) -> DataFrame:
     """(id bigint, label bigint): for each id of ``edges`` (hi > lo), the smallest id that it is linked to.
 
     Each round gives every label the smallest label across its edges (partial minima before the shuffle), shortens the
     resulting chains by pointer jumping until no pointer moves, then redraws the edges between the labels that are left.
-    A round leaves at most half of the labels that still have edges. Every round's tables are written to the shared
-    folder, so a lost executor costs at most that step; only counts come to the driver.
+    A label without a smaller neighbour takes one in, or, if all its neighbours prefer smaller ones, gets an edge to one
+    of those and moves in the next round: two rounds leave at most half of the labels that still have edges. Every
+    round's tables are written to the shared folder, so a lost executor costs at most that step; only counts come to the
+    driver. A label of very many edges is one key of the joins, in which adaptive execution splits its partition.
     """
-    labels = written(edges.select(F.explode(F.array("hi", "lo")).alias("id")).distinct().withColumn("label", F.col("id")), "labels")
-    left = written(edges, "edges")
-    while not left.isEmpty():
-        moves = written(left.groupBy(F.col("hi").alias("child")).agg(F.min("lo").alias("parent")), "moves")
-        while True:
+    left, n = _written_counting(edges, "edges", F.lit(True))
+    labels = left.select(F.explode(F.array("hi", "lo")).alias("id")).distinct().withColumn("label", F.col("id"))
+    while n:
+        moves = left.groupBy(F.col("hi").alias("child")).agg(F.min("lo").alias("parent"))
+        moved = 1
+        while moved:
             target = moves.select(F.col("child").alias("parent"), F.col("parent").alias("jump"))
-            jumped = written(moves.join(target, "parent", "left").select("child", F.coalesce("jump", "parent").alias("parent"), F.col("jump").isNotNull().alias("moved")), "jumps")
-            moves = jumped.select("child", "parent")
-            if jumped.where("moved").isEmpty():
-                break
-        labels = written(_relabelled(labels, "label", moves), "labels")
-        left = _relabelled(_relabelled(left, "hi", moves), "lo", moves)
-        left = written(_edges(F.col("hi"), F.col("lo"), left), "edges")
-    return labels
+            jumped = moves.join(target, "parent", "left").select("child", F.coalesce("jump", "parent").alias("parent"), F.col("jump").isNotNull().alias("moved"))
+            table, moved = _written_counting(jumped, "jumps", F.col("moved"))
+            moves = table.select("child", "parent")
+        labels = _relabelled(labels, "label", moves)
+        redrawn = _edges(F.col("hi"), F.col("lo"), _relabelled(_relabelled(left, "hi", moves), "lo", moves))
+        left, n = _written_counting(redrawn, "edges", F.lit(True))
+    return written(labels, "labels")
 
 
 def linked_groups(pairs: DataFrame, left: Sequence[str], right: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+from strandloom.llm import groups as groups_module
 from strandloom.llm.groups import linked_groups
 
 COLS = (["la", "lb"], ["ra", "rb"], ["a", "b"])
@@ -49,3 +50,13 @@ def test_empty(spark):
     df = spark.createDataFrame([], KIND)
     assert linked_groups(df, *COLS).columns == ["a", "b", "group_a", "group_b"] and linked_groups(df, *COLS).count() == 0
     check(spark, [("a", "b", "a", "b")])
+
+
+def test_star_whose_centre_comes_last(spark, monkeypatch):
+    """All ends of a star are smallest among their neighbours but one; the others get edges to it and follow in the next round."""
+    rows = [("z", "centre", "a", f"end{i:04d}") for i in range(3000)]
+    labels = []
+    plain = groups_module._written_counting
+    monkeypatch.setattr(groups_module, "_written_counting", lambda df, label, condition: labels.append(label) or plain(df, label, condition))
+    check(spark, rows)
+    assert labels.count("edges") == 3  # two rounds
