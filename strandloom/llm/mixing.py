@@ -47,19 +47,23 @@ def budgets(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = Non
 def thresholds(sizes: DataFrame, rests: DataFrame) -> DataFrame:
     """(source, threshold): documents with h below it hold about ``rest`` of the source's tokens, within half a document.
 
-    What is kept between steps has one row for each source. Documents of equal hash go together.
+    What is kept between steps has one row for each source, and the documents of the boundary buckets, from which the next
+    step is made. Documents of equal hash go together.
     """
     state = written(rests.where("rest > 0").select("source", F.lit(0).cast("bigint").alias("prefix"), "rest"), "state")
     running = Window.partitionBy("source").orderBy("digit")
     bits = HASH_BITS
+    boundary = sizes.select("source", "n_tokens", "h")
     while True:
         bits -= STEP_BITS
-        inside = sizes.join(if_small(state.select("source", "prefix", "rest")), "source").where(F.shiftright("h", bits + STEP_BITS) == F.col("prefix"))
+        inside = boundary.join(if_small(state.select("source", "prefix", "rest")), "source").where(F.shiftright("h", bits + STEP_BITS) == F.col("prefix"))
         sums = inside.groupBy("source", "prefix", "rest", F.shiftright("h", bits).bitwiseAND(F.lit((1 << STEP_BITS) - 1)).alias("digit")).agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"))
         last = sums.withColumn("reached", F.sum("t").over(running)).where("reached > rest and reached - t <= rest")
         state = written(last.select("source", (F.col("prefix") * (1 << STEP_BITS) + F.col("digit")).alias("prefix"), (F.col("rest") - F.col("reached") + F.col("t")).alias("rest"), "t", "n"), "state")
         if bits == 0 or state.where("n > 1").isEmpty():
             break
+        here = F.shiftright("h", bits) == F.col("prefix")
+        boundary = written(boundary.join(if_small(state.select("source", "prefix")), "source").where(here).select("source", "n_tokens", "h"), "boundary")
     return state.select("source", F.shiftleft(F.col("prefix") + F.when(F.col("rest") * 2 >= F.col("t"), 1).otherwise(0), bits).alias("threshold"))
 
 
