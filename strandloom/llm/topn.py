@@ -88,21 +88,30 @@ def best_of_file(path: str, n: int) -> tuple[pd.DataFrame, int, int]:
         file = pq.ParquetFile(handle)
         known = [(*_bounds(file.metadata, g), g) for g in range(file.metadata.num_row_groups)]
         best: dict[str, float] = {}
-        kept: list[pd.DataFrame] = []
+        # The best rows of groups with row groups of their own, the rest, and those rows of the rest that begin or end a row group.
+        own: dict[str, pd.DataFrame] = {}
+        mixed: list[pd.DataFrame] = []
+        edge: dict[str, list[pd.DataFrame]] = {}
         read = 0
         for top, group, g in sorted(known, key=lambda x: (-x[0], x[2])):
             if group is not None and top < best.get(group, -np.inf):
                 continue
             read += 1
-            rows = file.read_row_group(g).to_pandas()
-            if group is not None and kept and group in best:
-                rows = pd.concat([rows, *(k[k["group_key"] == group] for k in kept)])
-            rows = best_items(rows, n)
-            kept.append(rows)
-            sizes = rows.groupby("group_key", sort=False)["score"].agg(["size", "min"])
-            full = sizes[sizes["size"] >= n]["min"]
-            best.update({k: max(v, best.get(k, -np.inf)) for k, v in full.items()})
-        found = best_items(pd.concat(kept), n) if kept else pd.DataFrame({"group_key": [], "score": [], "item": []})
+            rows = best_items(file.read_row_group(g).to_pandas(), n)
+            if group is None:
+                mixed.append(rows)
+                keys = rows["group_key"].to_numpy()
+                first, last = rows[: int((keys[:n] == keys[0]).sum())], rows[len(keys) - int((keys[-n:] == keys[-1]).sum()) :]
+                parts = {keys[0]: first, keys[-1]: last}
+                for name, part in parts.items():
+                    edge.setdefault(name, []).append(part)
+            else:
+                before = [own[group]] if group in own else []
+                own[group] = best_items(pd.concat([rows, *before, *edge.pop(group, [])]), n)
+                parts = {group: own[group]}
+            best.update({k: max(x["score"].min(), best.get(k, -np.inf)) for k, x in parts.items() if len(x) >= n})
+        held = [*own.values(), *mixed]
+        found = best_items(pd.concat(held), n) if held else pd.DataFrame({"group_key": [], "score": [], "item": []})
         return found, read, len(known) - read
 
 

@@ -54,6 +54,20 @@ def test_most_row_groups_of_the_largest_group_are_skipped(spark):
     assert skipped >= own - 1 and read > 0
 
 
+def test_equal_scores_over_many_row_groups(spark, monkeypatch):
+    """No row group of equal scores can be skipped; each is merged with the best rows of its group only."""
+    df = spark.range(0, 20_000, 1, 1).selectExpr("if(id % 10 < 8, 'hot', concat('g', id % 1000)) as g", "7 as score", "lpad(cast(id as string), 6, '0') as item")
+    path = topn.cluster(df, ["g"], "score", "item", 100)
+    files = [r[0] for r in spark.read.parquet(path).selectExpr("_metadata.file_path").distinct().collect()]
+    sizes, whole = [], topn.best_items
+    monkeypatch.setattr(topn, "best_items", lambda rows, n: sizes.append(len(rows)) or whole(rows, n))
+    results = [topn.best_of_file(f, 3) for f in files]
+    assert sum(r[1] for r in results) >= 150
+    assert sorted(sizes)[-len(files) - 1] <= 103  # all but the last ranking of each file
+    got = {tuple(r) for r in topn.top_n(df, ["g"], "score", "item", 3, row_group_rows=100).collect()}
+    assert got == {(g, k, i) for g, _, k, i in brute([(r["g"], "", r["score"], r["item"]) for r in df.collect()], 3)}
+
+
 def test_fractional_scores(spark):
     """Scores that differ by less than one are told apart; NaN and null don't count."""
     rows = [("g", 1.25, "a"), ("g", 1.75, "b"), ("g", float("nan"), "c"), ("g", None, "d"), ("g", 1.5, "e"), ("h", -0.5, "a"), ("h", float("inf"), "b")]
