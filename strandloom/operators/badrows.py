@@ -97,12 +97,12 @@ def _structure(layouts: Mapping[str, Layout]) -> Column:
 
 
 def _checked_values(lines: DataFrame, layouts: Mapping[str, Layout]) -> DataFrame:
-    """(line_id, check_id, v): each checked field of the lines of right structure."""
+    """(line_no, line_id, check_id, v): each checked field of the lines of right structure."""
     cases = F.lit(None)
     for name, layout in layouts.items():
         pairs = F.array(*(F.struct(F.lit(f"{name}/{c.field}").alias("check_id"), F.get("fields", F.lit(c.field)).alias("v")) for c in layout.checks))
         cases = F.when(F.col("file_name") == name, pairs).otherwise(cases)
-    return lines.select("line_id", F.inline(cases))
+    return lines.select("line_no", "line_id", F.inline(cases))
 
 
 def invalid_values(values: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
@@ -117,30 +117,35 @@ def invalid_values(values: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -
 
 
 def structured(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
-    """(line_id, file_name, structure, fields): each line parsed once, in a written table; structure is the reason of a wrong one, or null."""
-    lines = parsed_lines(df, layouts).select("line_id", "file_name", _structure(layouts).alias("structure"), F.col("parsed.fields").alias("fields"))
+    """(line_no, line_id, file_name, structure, fields): each line parsed once, in a written table; structure is the reason of a wrong one, or null.
+
+    ``line_no`` tells lines apart whose line_id is null or repeated.
+    """
+    lines = parsed_lines(df, layouts).select(F.monotonically_increasing_id().alias("line_no"), "line_id", "file_name", _structure(layouts).alias("structure"), F.col("parsed.fields").alias("fields"))
     return written(lines, "lines")
 
 
 def _failed(lines: DataFrame, layouts: Mapping[str, Layout]) -> DataFrame:
+    """(line_no, line_id, reason) of the failed ones of the structured ``lines``."""
     values = _checked_values(lines.where(F.col("structure").isNull()), layouts)
     bad = if_small(written(invalid_values(values, layouts), "invalid"))
-    by_value = values.join(bad, ["check_id", "v"]).groupBy("line_id").agg(F.min("reason_no").alias("reason_no"))
+    by_value = values.join(bad, ["check_id", "v"]).groupBy("line_no", "line_id").agg(F.min("reason_no").alias("reason_no"))
     named = F.element_at(F.array(*map(F.lit, REASONS)), F.col("reason_no") + 1)
-    return lines.where(F.col("structure").isNotNull()).select("line_id", F.col("structure").alias("reason")).unionByName(by_value.select("line_id", named.alias("reason")))
+    by_structure = lines.where(F.col("structure").isNotNull()).select("line_no", "line_id", F.col("structure").alias("reason"))
+    return by_structure.unionByName(by_value.select("line_no", "line_id", named.alias("reason")))
 
 
 def failed_lines(df: DataFrame, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
     """(line_id, reason): the failed lines, each with the first reason that applies.
 
     Null and blank lines and comments are neither valid nor failed; one carriage return at the end is not part of a
-    line; a file name without layout (or null) fails as ``columns``. Repeated lines fail each under its own line_id.
+    line; a file name without layout (or null) fails as ``columns``. Repeated lines fail each under its own line_id, one row for each, also if it is null or repeated.
     """
-    return _failed(structured(df, layouts), layouts)
+    return _failed(structured(df, layouts), layouts).select("line_id", "reason")
 
 
 def valid_rows(df: DataFrame, file_name: str, layouts: Mapping[str, Layout] = LAYOUTS) -> DataFrame:
-    """(line_id, the columns of ``file_name``'s layout): its lines without a failure, fields unquoted."""
+    """(line_id, the columns of ``file_name``'s layout): its lines without a failure, fields unquoted, those of a null or repeated line_id too."""
     lines = structured(df.where(F.col("file_name") == file_name), layouts)
-    good = lines.where(F.col("structure").isNull()).join(_failed(lines, layouts), "line_id", "left_anti")
+    good = lines.where(F.col("structure").isNull()).join(_failed(lines, layouts), "line_no", "left_anti")
     return good.select("line_id", *(F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(layouts[file_name].columns)))

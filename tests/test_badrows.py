@@ -131,3 +131,13 @@ def test_a_plain_parser_agrees(spark):
             continue
         f = fields(x)
         assert got[i] == ("quoting" if f is None else "columns" if len(f) != 2 else "read_id"), x
+
+
+def test_null_and_repeated_line_ids(spark):
+    """A line that fails gives one row, whatever its line_id; valid lines of the same line_id stay."""
+    good, bad, torn = "A" * 16 + "_" + "B" * 12 + "#r\tT1", "x\tT1", "x"
+    rows = [(i, M, x) for i in (None, 7) for x in (good, bad, torn, good, bad)]
+    df = spark.createDataFrame(rows, "line_id bigint, file_name string, raw_line string").repartition(3)
+    failed = sorted((r["line_id"] or 0, r["reason"]) for r in failed_lines(df).collect())
+    assert failed == [(i, why) for i in (0, 7) for why in ("columns", "read_id", "read_id")]
+    assert sorted((r["line_id"] or 0, r["transcript_id"]) for r in valid_rows(df, M).collect()) == [(0, "T1"), (0, "T1"), (7, "T1"), (7, "T1")]
