@@ -201,7 +201,8 @@ def common_in_band(left: Sequence[np.ndarray], right: Sequence[np.ndarray], band
         a[k, : len(x)] = x
         b[k, w + 1 : w + 1 + len(y)] = y
     # Column c of a row i stands for place j = i + c - w of the right sequence.
-    j0 = np.arange(2 * w + 1) - w
+    column = np.arange(2 * w + 1)
+    j0 = column - w
     cost = np.where((j0 >= 0) & (j0 <= nb[:, None]), j0, far)
     answer = np.where(na == 0, nb, far)
     for i in range(1, rows + 1):
@@ -210,9 +211,9 @@ def common_in_band(left: Sequence[np.ndarray], right: Sequence[np.ndarray], band
         same = (here == a[:, i - 1 : i]) & (j >= 1) & (j <= nb[:, None])
         step = np.minimum(np.where(same, cost, far), np.c_[cost[:, 1:], np.full(len(cost), far)] + 1)
         step = np.where((j >= 0) & (j <= nb[:, None]), step, far)
-        for c in range(1, 2 * w + 1):
-            step[:, c] = np.where((j[c] >= 0) & (j[c] <= nb), np.minimum(step[:, c], step[:, c - 1] + 1), far)
-        cost = step
+        # The cheapest place to the left, with one insertion for each step from it.
+        step = np.minimum.accumulate(step - column, axis=1) + column
+        cost = np.where((j >= 0) & (j <= nb[:, None]), step, far)
         done = np.flatnonzero(na == i)
         at = nb[done] - i + w
         fits = (at >= 0) & (at <= 2 * w)
@@ -230,11 +231,15 @@ def aligned_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
             total = (pdf["left"].map(len) + pdf["right"].map(len)).to_numpy()
             # common / (total - common) >= s, that is total - 2 common <= total (1 - s) / (1 + s)
             band = np.floor(total * (1 - similarity) / (1 + similarity) + 1e-9).astype(int)
-            order = np.argsort(band, kind="stable")
-            for part in np.array_split(order, max(1, len(order) // 4096)):
+            order = np.argsort(total, kind="stable")[::-1]
+            begin = 0
+            while begin < len(order):
+                # The longest pair left sets the size of the matrices.
+                part = order[begin : begin + max(1, min(4096, CELLS // (2 * int(total[order[begin]]) + 1)))]
                 rows = pdf.iloc[part]
                 common = common_in_band(rows["left"].tolist(), rows["right"].tolist(), band[part])
                 yield rows.loc[common >= 0, ["a", "b"]]
+                begin += len(part)
 
     return pairs.mapInPandas(run, "a bigint, b bigint")
 
